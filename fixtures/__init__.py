@@ -1,0 +1 @@
+"""Inputs of the registered queries, derived from the test tables, and their oracle SQL."""

@@ -1,0 +1,160 @@
+"""The inputs of a refresh run, derived from the test tables (see FIXTURES.md)."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from highwater.functions.timestamps import NTZ, ntz
+from highwater.operators.control import CONTROL_KEY
+from highwater.operators.watermark import SOURCE_KEY
+from highwater.plans.refresh import RefreshInputs
+from highwater.settings import ManifestSettings, RefreshSettings
+
+WATERMARK = datetime(1999, 1, 1)
+SETTINGS = RefreshSettings(
+    source="MAIN",
+    subject_area="MAIN",
+    batch_ids=("B1",),
+    as_of=datetime(2001, 6, 1),
+    max_hours=2160,
+    manifest=ManifestSettings(
+        job_id=42,
+        constants={"environment": "stg", "batch_id": "B1", "source_snapshot": "Current", "debug_mode": "False"},
+    ),
+)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per entity, schema and changed object."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    prefix = F.when(F.col("o_orderkey") % 2 == 0, "Cust").otherwise("cust")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.concat(prefix, F.col("o_custkey").cast("string")).alias("entity_id"),
+        F.concat(F.lit("raw_"), F.lower("l_linestatus")).alias("schema_name"),
+        F.nullif(
+            F.concat(F.lit("t_"), "l_returnflag", F.col("l_linenumber").cast("string")), F.lit("t_N1")
+        ).alias("object_name"),
+        F.col("l_shipdate").cast(NTZ).alias("updated"),
+    )
+
+
+def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two schemas and two or three rows in different case forms per entity."""
+    variants = [("Cust", 0), ("cust", 30), ("cust", 60)]
+    step = F.col("c_custkey") + (F.col("v.shift") / 30).cast("bigint")
+    return (
+        table(spark, sf_dir, "customer")
+        .withColumn("schema_name", F.explode(F.array(F.lit("raw_f"), F.lit("raw_o"))))
+        .withColumn(
+            "v",
+            F.explode(
+                F.array(
+                    *[F.struct(F.lit(p).alias("prefix"), F.lit(s).alias("shift")) for p, s in variants]
+                )
+            ),
+        )
+        .where((F.col("v.shift") != 60) | (F.col("c_custkey") % 5 == 0))
+        .select(
+            F.concat("v.prefix", F.col("c_custkey").cast("string")).alias("entity_id"),
+            "schema_name",
+            F.when(F.col("c_acctbal").between(0, 500), None)
+            .otherwise(F.col("c_acctbal") > 0)
+            .alias("ready_for_processing"),
+            (F.col("c_mktsegment") != "FURNITURE").alias("data_available"),
+            F.when(F.col("c_nationkey") % 5 == 0, "OTHER").otherwise("MAIN").alias("source"),
+            F.when(step % 3 == 0, None).otherwise(step % 3 == 1).alias("migrated"),
+            F.date_add(
+                F.lit("1995-01-01").cast("date"),
+                ((F.col("c_custkey") * 37 + F.col("v.shift")) % 2500).cast("int"),
+            )
+            .cast(NTZ)
+            .alias("updated"),
+        )
+    )
+
+
+def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "customer")
+        .where(F.col("c_custkey") % 7 != 0)
+        .select(
+            F.concat(F.lit("CUST"), F.col("c_custkey").cast("string")).alias("entity_id"),
+            F.lit("B1").alias("batch_id"),
+            F.when(F.col("c_custkey") % 11 == 0, "N").otherwise("Y").alias("active_flag"),
+        )
+    )
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    ordered = F.col("o_orderdate").cast(NTZ)
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("CUST"), F.col("o_custkey").cast("string")).alias("entity_id"),
+        F.when(status == "F", "FAILED").when(status == "O", "COMPLETED").otherwise("STARTED").alias("batch_status"),
+        F.when(priority == "1-URGENT", "COMPLETED").otherwise("RUNNING").alias("job_status"),
+        F.when(priority == "5-LOW", "OTHER").otherwise("MAIN").alias("subject_area"),
+        ordered.alias("batch_start_ts"),
+        F.when(F.col("o_orderkey") % 13 == 0, None).otherwise(ordered).alias("src_refresh_ts"),
+    )
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (schema, object) that the change feed names; read without the join behind the feed."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .select(
+            F.concat(F.lit("raw_"), F.lower("l_linestatus")).alias("schema_name"),
+            F.nullif(
+                F.concat(F.lit("t_"), "l_returnflag", F.col("l_linenumber").cast("string")), F.lit("t_N1")
+            ).alias("object_name"),
+        )
+        .where(F.col("object_name").isNotNull())
+        .distinct()
+    )
+
+
+def control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some sources have a stored watermark, some a null one, some no row."""
+    stamp = ntz(WATERMARK)
+    return (
+        sources(spark, sf_dir)
+        .where(~F.col("object_name").startswith("t_R"))
+        .select(
+            *[F.col(s).alias(c) for s, c in zip(SOURCE_KEY, CONTROL_KEY)],
+            F.lit(None).cast("string").alias("entity_id"),
+            stamp.alias("created_timestamp"),
+            stamp.alias("updated_timestamp"),
+            F.when(F.col("object_name") != "t_A1", stamp).alias("last_modified_datetime"),
+        )
+    )
+
+
+def dispatch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("CUST"), F.col("user_id").cast("string")).alias("entity_id"),
+        F.col("ts").cast(NTZ).alias("attempted_at"),
+        F.col("event_id").alias("attempt_id"),
+        F.when(kind.isin("click", "purchase"), 200)
+        .when(kind == "view", 503)
+        .when(kind == "signup", 429)
+        .when(F.col("event_id") % 4 != 0, 400)
+        .alias("status_code"),
+    )
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> RefreshInputs:
+    return RefreshInputs(
+        change_feed(spark, sf_dir),
+        readiness(spark, sf_dir),
+        run_registry(spark, sf_dir),
+        run_log(spark, sf_dir),
+        control(spark, sf_dir),
+    )

@@ -1,0 +1 @@
+"""Holds nothing: a refresh run is a batch over stored watermarks and has no stream operator."""
