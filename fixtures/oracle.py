@@ -247,9 +247,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS n, coalesce(bool_and(outcome = 'ACCEPTED'), FALSE) AS may_commit FROM outcomes",
         ),
         "next_watermark": _with("moved_control", "SELECT * FROM moved_control"),
-        "next_watermark_held": _with(
-            "moved_control",
-            "SELECT * FROM control",
+        "next_watermark_whole_feed": _with(
+            "control",
+            """
+        SELECT * FROM control
+        UNION ALL
+        SELECT 'meta', 'change_feed', NULL, TIMESTAMP '2001-06-01 00:00:00', TIMESTAMP '2001-06-01 00:00:00',
+               max(updated) FROM change_feed""",
         ),
+        "next_watermark_held": _with("control", "SELECT * FROM control"),
         "control_upsert": _with("moved_control", "SELECT * FROM moved_control"),
     }

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from highwater.functions.skew import split_join
 from highwater.functions.timestamps import with_ntz
 from highwater.operators.watermark import changed_since
 from highwater.settings import WATERMARK_FLOOR
@@ -17,15 +18,11 @@ ENTITY_KEY = ["entity_id", "schema_name"]
 def changed_objects(change_feed: DataFrame) -> DataFrame:
     """The set of changed objects per entity and schema.
 
-    Repeated changes of an object are removed before the first shuffle, and that shuffle
-    spreads one entity's objects over all tasks; a set is then put together from distinct
-    names only.
+    Every task folds its rows into one set per key before the shuffle, so an entity that owns
+    much of the feed sends one set per task and not its rows.
     """
-    return (
-        change_feed.select(*ENTITY_KEY, F.coalesce("object_name", F.lit("")).alias("object_name"))
-        .distinct()
-        .groupBy(*ENTITY_KEY)
-        .agg(F.collect_set("object_name").alias("objects"))
+    return change_feed.groupBy(*ENTITY_KEY).agg(
+        F.collect_set(F.coalesce("object_name", F.lit(""))).alias("objects")
     )
 
 
@@ -34,7 +31,9 @@ def ready_rows(readiness: DataFrame, source: str) -> DataFrame:
     return with_ntz(
         readiness.where(
             F.col("ready_for_processing") & F.col("data_available") & (F.col("source") == source)
-        ).select(*ENTITY_KEY, "migrated", "updated"),
+        ).select(
+            *ENTITY_KEY, F.coalesce("migrated", F.lit(False)).alias("migrated"), "updated"
+        ),
         "updated",
     )
 
@@ -59,12 +58,12 @@ def candidates(
     ready = ready_rows(readiness, source)
     if grain == "raw":
         return (
-            objects.join(ready.distinct(), ENTITY_KEY)
+            split_join(ready.distinct(), objects, ENTITY_KEY, "inner")
             .select(
                 F.lower("entity_id").alias("entity_id"),
                 "schema_name",
                 F.array_sort("objects").alias("object_list"),
-                F.coalesce("migrated", F.lit(False)).cast("string").alias("migrated"),
+                F.col("migrated").cast("string").alias("migrated"),
                 "updated",
             )
             .distinct()
@@ -72,8 +71,7 @@ def candidates(
     if grain != "entity":
         raise ValueError(f"unknown grain {grain!r}")
     state = ready.groupBy(*ENTITY_KEY).agg(
-        F.bool_or(F.coalesce("migrated", F.lit(False))).alias("migrated"),
-        F.max("updated").alias("updated"),
+        F.bool_or("migrated").alias("migrated"), F.max("updated").alias("updated")
     )
     return (
         objects.join(state, ENTITY_KEY)

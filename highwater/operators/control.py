@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from highwater.functions.timestamps import comparable, ntz, with_ntz
 
 CONTROL_KEY = ["schema_name", "table_name"]
+STAMPS = ["created_timestamp", "updated_timestamp", "last_modified_datetime"]
 
 
 def next_control(
@@ -18,30 +19,39 @@ def next_control(
     gate: DataFrame,
     as_of: datetime,
     *,
+    source: tuple[str, str] | None = None,
     cutoff: datetime | str | Column | None = None,
 ) -> DataFrame:
     """The control rows once the run is settled.
 
     With an open gate each source's watermark moves to its newest change: a known key keeps its
     creation time, an unknown one is added. A source without any dated change, and every key
-    under a closed gate, stays as it is. ``cutoff`` leaves out changes newer than what the run
-    has read; without it the maximum is over the whole feed.
+    under a closed gate, stays as it is. ``source`` names the key under which the feed as a whole
+    is stored; without it every (schema, object) of the feed is a source of its own. ``cutoff``
+    leaves out changes newer than what the run has read; without it the maximum is over all.
+    Stored rows and the newest changes, one row per key each, are then folded by key together.
     """
-    dated = change_feed.where(F.col("schema_name").isNotNull() & F.col("object_name").isNotNull())
+    feed = with_ntz(change_feed.withColumnRenamed("object_name", "table_name"), "updated")
     if cutoff is not None:
-        updated, value = comparable(dated, "updated", cutoff)
-        dated = dated.where(updated <= value)
-    newest = (
-        with_ntz(dated.withColumnRenamed("object_name", "table_name"), "updated")
-        .groupBy(*CONTROL_KEY)
-        .agg(F.max("updated").alias("newest"))
+        updated, value = comparable(change_feed, "updated", cutoff)
+        feed = feed.where(updated <= value)
+    newest = F.max("updated").alias("newest")
+    if source is None:
+        keyed = feed.where(F.col("schema_name").isNotNull() & F.col("table_name").isNotNull())
+        reached = keyed.groupBy(*CONTROL_KEY).agg(newest)
+    else:
+        key = [F.lit(value).alias(name) for name, value in zip(CONTROL_KEY, source)]
+        reached = feed.agg(newest).select(*key, "newest")
+    stored = with_ntz(control, *STAMPS).select(
+        *CONTROL_KEY, "entity_id", *STAMPS, F.lit(True).alias("stored")
     )
-    stored = with_ntz(
-        control, "created_timestamp", "updated_timestamp", "last_modified_datetime"
-    ).withColumn("stored", F.lit(True))
-    moves = gate.select("may_commit").scalar() & F.col("newest").isNotNull()
+    is_open = gate.select("may_commit").scalar()
+    moves = F.col("newest").isNotNull()
     return (
-        stored.join(newest, CONTROL_KEY, "full_outer")
+        stored.unionByName(reached, allowMissingColumns=True)
+        .groupBy(*CONTROL_KEY)
+        .agg(*[F.max(c).alias(c) for c in ("entity_id", *STAMPS, "stored", "newest")])
+        .withColumn("newest", F.when(is_open, F.col("newest")))
         .where(F.col("stored") | moves)
         .select(
             *CONTROL_KEY,
@@ -52,8 +62,6 @@ def next_control(
             F.when(moves, ntz(as_of))
             .otherwise(F.col("updated_timestamp"))
             .alias("updated_timestamp"),
-            F.when(moves, F.col("newest"))
-            .otherwise(F.col("last_modified_datetime"))
-            .alias("last_modified_datetime"),
+            F.coalesce("newest", "last_modified_datetime").alias("last_modified_datetime"),
         )
     )

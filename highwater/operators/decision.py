@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from highwater.functions.skew import split_join
 from highwater.operators.history import ACTIVE, registered
 
 NEW, INACTIVE, IN_FLIGHT, NO_HISTORY, REFRESH, UP_TO_DATE = DECISIONS = (
@@ -24,7 +25,7 @@ def new_entities(
 ) -> DataFrame:
     """Candidates that the batches do not know at all."""
     known = registered(run_registry, batch_ids).select("entity_id").distinct()
-    return candidates.join(known, "entity_id", "left_anti")
+    return split_join(candidates, known, ["entity_id"], "left_anti")
 
 
 def stale_entities(candidates: DataFrame, registry_refresh: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def stale_entities(candidates: DataFrame, registry_refresh: DataFrame) -> DataFr
         .agg(F.min("last_refreshed_ts").alias("last_refreshed_ts"))
     )
     return (
-        candidates.join(refreshed, "entity_id")
+        split_join(candidates, refreshed, ["entity_id"], "inner")
         .where(F.col("updated") > F.col("last_refreshed_ts"))
         .select(*candidates.columns)
     )
@@ -47,11 +48,12 @@ def decide(candidates: DataFrame, registry_status: DataFrame, history: DataFrame
     """One decision per candidate; ``registry_status`` and ``history`` hold one row per entity.
 
     The first reason that applies wins: not registered, not active, a run in flight, no usable
-    history, changed since the last refresh, up to date.
+    history, changed since the last refresh, up to date. What is known per entity is put together
+    first, so that the candidates are joined, and shuffled, once.
     """
+    known = registry_status.join(history, "entity_id", "full_outer")
     return (
-        candidates.join(registry_status, "entity_id", "left")
-        .join(history, "entity_id", "left")
+        split_join(candidates, known, ["entity_id"], "left")
         .withColumn(
             "decision",
             F.when(F.col("active").isNull(), NEW)

@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from highwater.functions.skew import split_join
 from highwater.functions.timestamps import comparable, ntz, with_ntz
 from highwater.settings import HISTORY_FLOOR, MAX_RUN_HOURS
 
@@ -106,8 +107,7 @@ def registry_refresh(
 ) -> DataFrame:
     """Every registry row of the batches with its entity's last refresh, newest first, unknown last."""
     return (
-        registered(run_registry, batch_ids)
-        .join(refreshed, "entity_id", "left")
+        split_join(registered(run_registry, batch_ids), refreshed, ["entity_id"], "left")
         .select("entity_id", "last_refreshed_ts", "active_flag")
         .orderBy(F.col("last_refreshed_ts").desc_nulls_last(), "entity_id")
     )

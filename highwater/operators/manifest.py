@@ -27,6 +27,9 @@ def manifest(decisions: DataFrame, settings: ManifestSettings) -> DataFrame:
         "object_list": list_text(F.col("object_list"), settings.list_style),
         "updated": iso_text(F.col("updated")),
     }
+    clash = computed.keys() & settings.constants.keys()
+    if clash:
+        raise ValueError(f"constants hide computed parameters: {sorted(clash)}")
     constants = {name: F.lit(value).cast("string") for name, value in settings.constants.items()}
     records = decisions.where(F.col("decision").isin(NEW, REFRESH)).select(
         F.when(is_new, 0).otherwise(1).alias("run_order"),

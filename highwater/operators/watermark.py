@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from highwater.functions.skew import split_join
 from highwater.functions.timestamps import comparable, ntz, with_ntz
 from highwater.settings import WATERMARK_FLOOR
 
@@ -16,17 +17,22 @@ SOURCE_KEY = ["schema_name", "object_name"]
 def read_watermarks(
     sources: DataFrame, control: DataFrame, floor: datetime = WATERMARK_FLOOR
 ) -> DataFrame:
-    """The watermark of every source, the floor where none is stored or the stored one is null."""
-    stored = (
-        with_ntz(control, "last_modified_datetime")
-        .withColumnRenamed("table_name", "object_name")
-        .groupBy(*SOURCE_KEY)
-        .agg(F.max("last_modified_datetime").alias("stored"))
+    """The watermark of every source, the floor where none is stored or the stored one is null.
+
+    Both inputs are folded by key in one shuffle. Spark takes the size of the result for at most
+    the sum of both (for a join it would take the product), which keeps a small one broadcastable.
+    """
+    stored = with_ntz(control, "last_modified_datetime").select(
+        "schema_name",
+        F.col("table_name").alias("object_name"),
+        F.col("last_modified_datetime").alias("stored"),
     )
+    wanted = sources.select(*SOURCE_KEY, F.lit(True).alias("wanted"))
     return (
-        sources.select(*SOURCE_KEY)
-        .distinct()
-        .join(stored, SOURCE_KEY, "left")
+        wanted.unionByName(stored, allowMissingColumns=True)
+        .groupBy(*SOURCE_KEY)
+        .agg(F.bool_or("wanted").alias("wanted"), F.max("stored").alias("stored"))
+        .where("wanted")
         .select(*SOURCE_KEY, F.coalesce("stored", ntz(floor)).alias("watermark"))
     )
 
@@ -54,16 +60,17 @@ def changed_since(
     """Change rows strictly newer than their watermark.
 
     With one value the comparison goes down into the file scan. With a frame (one row per
-    source, as ``read_watermarks`` gives) each row meets its own source's watermark; the frame
-    is left to the planner's size check, so a small one is broadcast and the feed is not
-    shuffled, and a large one is sort-merge joined, where a hot source is split.
+    source, as ``read_watermarks`` gives) each row meets its own source's watermark. Spark's size
+    check decides how: a frame below the broadcast threshold leaves the feed unshuffled, beyond
+    it both sides are shuffled and a hot source is split.
     """
     if not isinstance(watermark, DataFrame):
         updated, value = comparable(change_feed, "updated", watermark)
         return with_ntz(change_feed.where(updated > value), "updated")
+    dated = with_ntz(change_feed.where(F.col("updated").isNotNull()), "updated")
+    marks = watermark.select(*SOURCE_KEY, "watermark")
     return (
-        with_ntz(change_feed.where(F.col("updated").isNotNull()), "updated")
-        .join(watermark.select(*SOURCE_KEY, "watermark"), SOURCE_KEY, "left")
+        split_join(dated, marks, SOURCE_KEY, "left")
         .where(F.col("updated") > F.coalesce("watermark", ntz(floor)))
         .select(*change_feed.columns)
     )

@@ -6,15 +6,19 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
+from highwater.functions.timestamps import ntz
 from highwater.operators.candidates import candidates
 from highwater.operators.control import next_control
 from highwater.operators.decision import decide
 from highwater.operators.history import registry_status, run_history
 from highwater.operators.manifest import manifest, summary
 from highwater.operators.outcomes import may_commit, outcomes
+from highwater.operators.watermark import read_watermarks, stored_watermark
 from highwater.settings import RefreshSettings
+from highwater.sources.control_table import upsert_control
 
 RECORD_KEY = ("entity_id", "schema_name")
 
@@ -39,16 +43,28 @@ class RefreshPlan:
     summary: DataFrame
 
 
+def watermark(inputs: RefreshInputs, settings: RefreshSettings) -> Column | DataFrame:
+    """Where the last committed run stopped: one value for the feed, or one per stored source.
+
+    A source that is not stored starts at the floor in any case, so the feed need not be read
+    to list them all.
+    """
+    if settings.change_source is not None:
+        return stored_watermark(inputs.control, *settings.change_source, settings.watermark_floor)
+    stored = inputs.control.withColumnRenamed("table_name", "object_name")
+    return read_watermarks(stored, inputs.control, settings.watermark_floor)
+
+
 def decisions(
     inputs: RefreshInputs,
-    watermark: datetime | str | Column | DataFrame,
     settings: RefreshSettings,
+    since: datetime | str | Column | DataFrame,
 ) -> DataFrame:
     """From the change feed to one decision per candidate, as one lazy plan."""
     found = candidates(
         inputs.change_feed,
         inputs.readiness,
-        watermark,
+        since,
         settings.source,
         floor=settings.watermark_floor,
     )
@@ -63,13 +79,10 @@ def decisions(
     return decide(found, status, history)
 
 
-def plan_refresh(
-    inputs: RefreshInputs,
-    watermark: datetime | str | Column | DataFrame,
-    settings: RefreshSettings,
-) -> RefreshPlan:
+def plan_refresh(inputs: RefreshInputs, settings: RefreshSettings) -> RefreshPlan:
     """Decide once, write the decisions to the shared folder, derive manifest and report."""
-    decided = materialise(decisions(inputs, watermark, settings), "decisions")
+    since = watermark(inputs, settings)
+    decided = materialise(decisions(inputs, settings, since), "decisions")
     return RefreshPlan(decided, manifest(decided, settings.manifest), summary(decided))
 
 
@@ -86,5 +99,19 @@ def settle(
     ``attempts`` has one row per attempt with the record's entity and schema.
     """
     ended = outcomes(attempts, settings.max_attempts, settings.retry_codes, keys=RECORD_KEY)
-    gate = may_commit(ended, plan.manifest)
-    return next_control(inputs.control, inputs.change_feed, gate, settings.as_of, cutoff=cutoff)
+    return next_control(
+        inputs.control,
+        inputs.change_feed,
+        may_commit(ended, plan.manifest),
+        settings.as_of,
+        source=settings.change_source,
+        cutoff=cutoff,
+    )
+
+
+def commit(
+    settled: DataFrame, settings: RefreshSettings, path: str, table: str | None = None
+) -> None:
+    """Store the rows that moved; with a closed gate there are none and nothing is written."""
+    moved = settled.where(F.col("updated_timestamp") == ntz(settings.as_of))
+    upsert_control(moved, path, table)

@@ -34,13 +34,18 @@ class ManifestSettings:
 
 @dataclass(frozen=True)
 class RefreshSettings:
-    """What one run looks at. ``as_of`` stands for the wall clock."""
+    """What one run looks at. ``as_of`` stands for the wall clock.
+
+    ``change_source`` is the (schema, table) under which the change feed as a whole keeps its
+    watermark; without it every (schema, object) of the feed keeps its own.
+    """
 
     source: str
     subject_area: str
     batch_ids: tuple[str, ...]
     as_of: datetime
     manifest: ManifestSettings
+    change_source: tuple[str, str] | None = None
     max_hours: int = MAX_RUN_HOURS
     watermark_floor: datetime = WATERMARK_FLOOR
     history_floor: datetime = HISTORY_FLOOR

@@ -26,7 +26,7 @@ def read_jdbc(
     condition and suits text keys or a column with a hot range; together they have to cover
     every row once. Filters and column choice made on the result run in the database.
     """
-    query = table_or_query.strip().rstrip(";")
+    query = table_or_query.strip().rstrip(";").rstrip()
     source = f"({query}) q" if query.lower().startswith(("select", "with")) else query
     if predicates is not None:
         if partition_column is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,7 +22,12 @@ def require_tables(spark: SparkSession, *names: str) -> None:
         raise MissingTables(missing)
 
 
-def load_tables(spark: SparkSession, *names: str) -> list[DataFrame]:
-    """The named tables as DataFrames, after checking that all of them exist."""
-    require_tables(spark, *names)
-    return [spark.table(name) for name in names]
+def load_table(
+    spark: SparkSession, name: str, columns: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A catalog table, with ``columns`` only those, renamed from its names to ours."""
+    require_tables(spark, name)
+    table = spark.table(name)
+    if columns is None:
+        return table
+    return table.select(*[table[theirs].alias(ours) for theirs, ours in columns.items()])

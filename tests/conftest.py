@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("highwater-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Builds the input tables from short Python rows."""
+    schemas = {
+        "change_feed": "entity_id string, schema_name string, object_name string, updated timestamp_ntz",
+        "readiness": (
+            "entity_id string, schema_name string, ready_for_processing boolean, data_available boolean, "
+            "source string, migrated boolean, updated timestamp_ntz"
+        ),
+        "run_registry": "entity_id string, batch_id string, active_flag string",
+        "run_log": (
+            "entity_id string, batch_status string, job_status string, subject_area string, "
+            "batch_start_ts timestamp_ntz, src_refresh_ts timestamp_ntz"
+        ),
+        "control": (
+            "schema_name string, table_name string, entity_id string, created_timestamp timestamp_ntz, "
+            "updated_timestamp timestamp_ntz, last_modified_datetime timestamp_ntz"
+        ),
+        "attempts": "entity_id string, attempted_at timestamp_ntz, attempt_id bigint, status_code int",
+        "outcomes": "entity_id string, attempts_used int, outcome string",
+        "sources": "schema_name string, object_name string",
+        "candidates": (
+            "entity_id string, schema_name string, object_list array<string>, migrated string, "
+            "updated timestamp_ntz"
+        ),
+    }
+
+    def build(kind, rows):
+        return spark.createDataFrame(rows, schemas[kind])
+
+    return build
+
+
+def ts(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
+def rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)

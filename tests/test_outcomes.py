@@ -1,0 +1,85 @@
+from datetime import timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from highwater.operators.outcomes import may_commit, outcomes
+from tests.conftest import rows, ts
+
+T = ts("2001-01-01")
+RETRY = (429, 500, 502, 503, 504)
+
+
+def attempts(make, by_entity):
+    return make(
+        "attempts",
+        [
+            (entity, T + timedelta(minutes=i // 2), i, status)
+            for entity, statuses in by_entity.items()
+            for i, status in enumerate(statuses)
+        ],
+    )
+
+
+def ended(make, **by_entity):
+    return {r[0]: r[1:] for r in rows(outcomes(attempts(make, by_entity)))}
+
+
+def test_each_way_to_end(make):
+    assert ended(
+        make,
+        first=[200],
+        third=[503, 429, 200],
+        late=[503, 503, 503, 200],
+        short=[504],
+        refused=[503, 400, 200],
+        silent=[500, None, 200],
+        once=[200, 400],
+        other_success=[201],
+    ) == {
+        "first": (1, "ACCEPTED"),
+        "third": (3, "ACCEPTED"),
+        "late": (3, "EXHAUSTED"),
+        "short": (1, "EXHAUSTED"),
+        "refused": (2, "REJECTED"),
+        "silent": (2, "REJECTED"),
+        "once": (1, "ACCEPTED"),
+        "other_success": (1, "REJECTED"),
+    }
+
+
+def walk(statuses, limit):
+    for used, status in enumerate(statuses[:limit], 1):
+        if status not in RETRY:
+            return used, "ACCEPTED" if status == 200 else "REJECTED"
+    return min(len(statuses), limit), "EXHAUSTED"
+
+
+statuses = st.lists(st.sampled_from([200, 201, 400, None, *RETRY]), min_size=1, max_size=7)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cases=st.lists(statuses, min_size=1, max_size=40), limit=st.integers(1, 4))
+def test_outcomes_follow_a_walk_in_order(make, cases, limit):
+    by_entity = {f"e{i}": c for i, c in enumerate(cases)}
+    got = {r[0]: r[1:] for r in rows(outcomes(attempts(make, by_entity), limit))}
+    assert got == {e: walk(c, limit) for e, c in by_entity.items()}
+
+
+def gate(make, *labels):
+    return rows(may_commit(make("outcomes", [(f"e{i}", 1, o) for i, o in enumerate(labels)])))
+
+
+def test_gate_needs_one_outcome_and_only_accepted_ones(make):
+    assert gate(make) == [(0, False)]
+    assert gate(make, "ACCEPTED", "ACCEPTED") == [(2, True)]
+    assert gate(make, "ACCEPTED", "EXHAUSTED") == [(2, False)]
+    assert gate(make, "ACCEPTED", None) == [(2, False)]
+
+
+def test_record_without_an_outcome_holds_the_commit(spark, make):
+    expected = spark.createDataFrame([("e0",), ("e1",)], "entity_id string")
+    one = make("outcomes", [("e0", 1, "ACCEPTED")])
+    both = make("outcomes", [("e0", 1, "ACCEPTED"), ("e1", 1, "ACCEPTED")])
+    assert rows(may_commit(one, expected)) == [(2, False)]
+    assert rows(may_commit(both, expected)) == [(2, True)]
