@@ -27,8 +27,23 @@ SETTINGS = RefreshSettings(
 )
 
 
+# The columns in use, so that Spark need not open a file to learn them before a query is planned.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
