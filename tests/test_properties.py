@@ -1,0 +1,102 @@
+"""Operators against their definition in plain Python, on random small inputs."""
+
+from datetime import timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from highwater.operators.candidates import candidates
+from highwater.operators.control import next_control
+from highwater.operators.watermark import changed_since, read_watermarks
+from tests.conftest import rows, ts
+
+T = ts("2001-01-01")
+FLOOR = ts("1990-01-01")
+AS_OF = ts("2002-01-01")
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+entity = st.sampled_from(["a", "A", "b", "B", None])
+schema = st.sampled_from(["s", "t", None])
+item = st.sampled_from(["x", "y", "", None])
+when = st.one_of(st.none(), st.integers(-3, 3).map(lambda d: T + timedelta(days=d)))
+flag = st.sampled_from([True, True, False, None])
+feeds = st.lists(st.tuples(entity, schema, item, when), max_size=15)
+ready_rows = st.lists(
+    st.tuples(entity, schema, flag, flag, st.sampled_from(["MAIN", "MAIN", "OTHER"]), flag, when), max_size=10
+)
+control_rows = st.dictionaries(
+    st.tuples(st.sampled_from(["s", "t"]), st.sampled_from(["x", "y", "z"])), when, max_size=5
+)
+
+
+def matches(feed, ready):
+    """Pairs of a changed row and a ready row of the same entity as written and schema."""
+    for e, s, o, u in feed:
+        for e2, s2, is_ready, available, source, migrated, updated in ready:
+            if u is not None and u > T and e is not None and s is not None and (e, s) == (e2, s2):
+                if is_ready and available and source == "MAIN":
+                    yield e, s, o or "", bool(migrated), updated
+
+
+def newest(times):
+    return max([t for t in times if t is not None], default=None)
+
+
+@few
+@given(feed=feeds, ready=ready_rows)
+def test_candidates(make, feed, ready):
+    found = list(matches(feed, ready))
+    frames = make("change_feed", feed), make("readiness", ready), T, "MAIN"
+
+    groups = {}
+    for e, s, o, m, u in found:
+        groups.setdefault((e.lower(), s), []).append((o, m, u))
+    assert rows(candidates(*frames)) == sorted(
+        [
+            (e, s, sorted({o for o, _, _ in g}), str(any(m for _, m, _ in g)).lower(), newest(u for _, _, u in g))
+            for (e, s), g in groups.items()
+        ],
+        key=repr,
+    )
+
+    raw = {
+        (e.lower(), s, tuple(sorted({o2 for e2, s2, o2, _, _ in found if (e2, s2) == (e, s)})), str(m).lower(), u)
+        for e, s, _, m, u in found
+    }
+    assert rows(candidates(*frames, grain="raw")) == sorted(
+        [(e, s, list(o), m, u) for e, s, o, m, u in raw], key=repr
+    )
+
+
+def control_frame(make, stored):
+    return make("control", [(s, t, None, T, T, mark) for (s, t), mark in stored.items()])
+
+
+@few
+@given(feed=feeds, stored=control_rows)
+def test_changes_by_source(make, feed, stored):
+    control = control_frame(make, stored)
+    frame = make("change_feed", feed)
+    marks = read_watermarks(frame.where("schema_name is not null and object_name is not null"), control)
+    keys = {(s, o) for _, s, o, _ in feed if s is not None and o is not None}
+    assert rows(marks) == sorted([(*k, stored.get(k) or FLOOR) for k in keys], key=repr)
+    expected = [r for r in feed if r[3] is not None and r[3] > (stored.get((r[1], r[2])) or FLOOR)]
+    assert rows(changed_since(frame, marks)) == sorted(expected, key=repr)
+
+
+@few
+@given(feed=feeds, stored=control_rows, is_open=st.booleans(), whole=st.booleans())
+def test_next_control(spark, make, feed, stored, is_open, whole):
+    gate = spark.createDataFrame([(1, is_open)], "n bigint, may_commit boolean")
+    source = ("s", "x") if whole else None
+    reached = {}
+    for _, s, o, u in feed if is_open else []:
+        key = source or (s, o)
+        if u is not None and None not in key:
+            reached[key] = newest([u, reached.get(key)])
+    expected = [
+        (*key, None, T if key in stored else AS_OF, AS_OF if key in reached else T, reached.get(key, stored.get(key)))
+        for key in stored.keys() | reached.keys()
+    ]
+    got = next_control(control_frame(make, stored), make("change_feed", feed), gate, AS_OF, source=source)
+    assert rows(got) == sorted(expected, key=repr)
