@@ -192,6 +192,13 @@ def oracle_sql() -> dict[str, str]:
     return {
         "watermark_read": _with("watermarks", "SELECT * FROM watermarks"),
         "incremental_filter": _with("changed", "SELECT * FROM changed"),
+        "incremental_filter_stored": _with(
+            "control",
+            """
+        SELECT * FROM change_feed WHERE updated > coalesce(
+            (SELECT last_modified_datetime FROM control WHERE schema_name = 'raw_o' AND table_name = 't_N2'),
+            TIMESTAMP '1990-01-01 00:00:00')""",
+        ),
         "incremental_filter_by_source": _with("changed_by_source", "SELECT * FROM changed_by_source"),
         "incremental_candidates": _with("matched", _grouped("matched")),
         "incremental_candidates_by_source": _with("matched_by_source", _grouped("matched_by_source")),

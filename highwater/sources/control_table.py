@@ -29,11 +29,13 @@ def ensure_control(spark: SparkSession, path: str, table: str | None = None) ->
     schema = table.rpartition(".")[0]
     if schema:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONTROL_SCHEMA)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(CONTROL_KEY)}) LOCATION '{path}'"
+        f"PARTITIONED BY ({', '.join(CONTROL_KEY)}) LOCATION '{location}'"
     )
+    spark.catalog.recoverPartitions(table)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:

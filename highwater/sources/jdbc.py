@@ -24,15 +24,17 @@ def read_jdbc(
     ``partition_column`` splits the range between the bounds into even strides; the bounds only
     place the strides, rows beyond them are read too. ``predicates`` gives one task per
     condition and suits text keys or a column with a hot range; together they have to cover
-    every row once. Filters and column choice made on the result run in the database.
+    every row once. Filters and column choice made on the result run in the database. Times
+    without zone stay so, unless ``properties`` say otherwise.
     """
+    properties = {"preferTimestampNTZ": "true", **(properties or {})}
     query = table_or_query.strip().rstrip(";").rstrip()
     source = f"({query}) q" if query.lower().startswith(("select", "with")) else query
     if predicates is not None:
         if partition_column is not None:
             raise ValueError("give either partition_column or predicates")
-        return spark.read.jdbc(url, source, predicates=list(predicates), properties=dict(properties or {}))
-    options = {"url": url, "dbtable": source, **(properties or {})}
+        return spark.read.jdbc(url, source, predicates=list(predicates), properties=properties)
+    options = {"url": url, "dbtable": source, **properties}
     if partition_column is not None:
         split = {"lowerBound": lower_bound, "upperBound": upper_bound, "numPartitions": num_partitions}
         missing = [name for name, value in split.items() if value is None]

@@ -72,10 +72,14 @@ def test_upsert_may_read_the_table_it_writes(spark, make, tmp_path):
 
 
 def test_catalog_table_follows_the_files(spark, make, tmp_path):
-    path = str(tmp_path / "control")
+    path = str(tmp_path / "it's control")
+    listed = lambda: rows(spark.table("ops.control").select(*read_control(spark, path).columns))
     for _ in range(2):
         ensure_control(spark, path, "ops.control")
     upsert_control(make("control", STORED), path, "ops.control")
-    assert rows(spark.table("ops.control").select(*read_control(spark, path).columns)) == sorted(STORED, key=repr)
+    assert listed() == sorted(STORED, key=repr)
+    spark.sql("DROP TABLE ops.control")
+    ensure_control(spark, path, "ops.control")
+    assert listed() == sorted(STORED, key=repr)
     spark.sql("DROP TABLE ops.control")
     spark.sql("DROP SCHEMA ops")

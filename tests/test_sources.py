@@ -44,11 +44,12 @@ class Reader:
 
 
 URL = "jdbc:mysql://db/audit"
+NTZ = {"preferTimestampNTZ": "true"}
 
 
 def test_plain_table():
     got = read_jdbc(Reader(), URL, "run_log", properties={"user": "u"})
-    assert got == {"format": "jdbc", "options": {"url": URL, "dbtable": "run_log", "user": "u"}}
+    assert got == {"format": "jdbc", "options": {"url": URL, "dbtable": "run_log", **NTZ, "user": "u"}}
 
 
 def test_query_becomes_a_subquery():
@@ -62,6 +63,7 @@ def test_partitioned_read():
     assert got["options"] == {
         "url": URL,
         "dbtable": "run_log",
+        **NTZ,
         "partitionColumn": "id",
         "lowerBound": "0",
         "upperBound": "10",
@@ -72,6 +74,12 @@ def test_partitioned_read():
 def test_predicates():
     got = read_jdbc(Reader(), URL, "run_log", predicates=["a = 1", "a <> 1 or a is null"])
     assert got["predicates"] == ["a = 1", "a <> 1 or a is null"]
+    assert got["properties"] == NTZ
+
+
+def test_properties_win_over_defaults():
+    got = read_jdbc(Reader(), URL, "run_log", properties={"preferTimestampNTZ": "false"})
+    assert got["options"]["preferTimestampNTZ"] == "false"
 
 
 def test_incomplete_or_double_split_is_refused():
