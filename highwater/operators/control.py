@@ -31,10 +31,10 @@ def next_control(
     leaves out changes newer than what the run has read; without it the maximum is over all.
     Stored rows and the newest changes, one row per key each, are then folded by key together.
     """
-    feed = with_ntz(change_feed.withColumnRenamed("object_name", "table_name"), "updated")
     if cutoff is not None:
         updated, value = comparable(change_feed, "updated", cutoff)
-        feed = feed.where(updated <= value)
+        change_feed = change_feed.where(updated <= value)
+    feed = with_ntz(change_feed.withColumnRenamed("object_name", "table_name"), "updated")
     newest = F.max("updated").alias("newest")
     if source is None:
         keyed = feed.where(F.col("schema_name").isNotNull() & F.col("table_name").isNotNull())

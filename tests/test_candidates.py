@@ -48,7 +48,7 @@ def test_sides_are_matched_on_the_id_as_written_and_the_schema(make):
 
 @pytest.mark.parametrize(
     "state",
-    [dict(ready=False), dict(ready=None), dict(available=False), dict(available=None), dict(source="OTHER"), dict(source=None)],
+    [{"ready": False}, {"ready": None}, {"available": False}, {"available": None}, {"source": "X"}, {"source": None}],
 )
 def test_rows_that_are_not_ready_do_not_count(make, state):
     assert find(make, [("a", "s", "x", NEW)], [ready("a", **state)]) == []

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from highwater.operators.control import next_control
 from highwater.sources.control_table import ensure_control, read_control, upsert_control
@@ -49,6 +50,13 @@ def test_cutoff_leaves_out_what_the_run_has_not_read(spark, make):
     assert ("s", "x", None, OLD, AS_OF, OLD) in got
 
 
+def test_cutoff_is_compared_with_zoned_times_too(spark, make):
+    zoned = make("change_feed", FEED).withColumn("updated", F.col("updated").cast("timestamp"))
+    control, cutoff = make("control", STORED), ts("2000-06-01")
+    moved = next_control(control, zoned, gate(spark, True), AS_OF, cutoff=cutoff)
+    assert rows(moved) == move(spark, make, STORED, FEED, cutoff=cutoff)
+
+
 def test_upsert_replaces_only_the_given_keys(spark, make, tmp_path):
     path = str(tmp_path / "control")
     ensure_control(spark, path)

@@ -107,4 +107,4 @@ def test_decisions_are_read_back_from_the_shared_folder(spark, world):
     _, inputs = world
     plan = plan_refresh(inputs(), WHOLE_FEED)
     shared = spark.conf.get("spark.checkpoint.dir")
-    assert all(f.startswith(f"file:{shared}/") or f.startswith(f"file://{shared}/") for f in plan.decisions.inputFiles())
+    assert all(f"{shared}/decisions-" in file for file in plan.decisions.inputFiles())

@@ -136,10 +136,14 @@ SKEW = dict(
 DAY = ts("2001-01-01")
 
 
+def hot_third():
+    return F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id").cast("string")))
+
+
 def hot_schemas(spark, n=20000):
     """Candidates of which one entity owns a third."""
     return spark.range(n, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id").cast("string"))).alias("entity_id"),
+        hot_third().alias("entity_id"),
         F.concat(F.lit("s"), F.col("id").cast("string")).alias("schema_name"),
         F.array(F.lit("x")).alias("object_list"),
         F.lit("false").alias("migrated"),
@@ -197,9 +201,8 @@ def test_hot_entity_is_split_in_the_decision(spark, make):
 
 def test_hot_readiness_is_split_in_the_raw_grain(spark, make):
     ids = spark.range(20000, numPartitions=8)
-    entity = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id").cast("string")))
     ready = ids.select(
-        entity.alias("entity_id"),
+        hot_third().alias("entity_id"),
         F.lit("s").alias("schema_name"),
         F.lit(True).alias("ready_for_processing"),
         F.lit(True).alias("data_available"),
