@@ -1,14 +1,21 @@
-"""The stored control table: parquet, one folder per (schema, table) key."""
+"""The stored control table: parquet, its keys spread over a fixed number of folders.
+
+A folder per key would be simpler, but with tens of thousands of sources one commit would write,
+move and list as many folders. Here it writes at most ``BUCKETS`` files.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
+from highwater.functions.lineage import materialise
 from highwater.operators.control import CONTROL_KEY
 
-# The schema is given on every read: keys such as "007" would otherwise be read back as numbers.
+# A key has to stay in its folder, so the number of folders is fixed for the life of a table.
+BUCKET, BUCKETS = "key_bucket", 16
+
 CONTROL_SCHEMA = StructType(
     [
         StructField("schema_name", StringType()),
@@ -19,42 +26,59 @@ CONTROL_SCHEMA = StructType(
         StructField("last_modified_datetime", TimestampNTZType()),
     ]
 )
+STORED_SCHEMA = StructType([*CONTROL_SCHEMA, StructField(BUCKET, IntegerType())])
 
 
 def ensure_control(spark: SparkSession, path: str, table: str | None = None) -> None:
     """Make the control table if it is not there yet, with ``table`` also in the catalog."""
-    spark.createDataFrame([], CONTROL_SCHEMA).write.mode("ignore").partitionBy(*CONTROL_KEY).parquet(path)
+    spark.createDataFrame([], STORED_SCHEMA).write.mode("ignore").partitionBy(BUCKET).parquet(path)
     if table is None:
         return
     schema = table.rpartition(".")[0]
     if schema:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONTROL_SCHEMA)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED_SCHEMA)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(CONTROL_KEY)}) LOCATION '{location}'"
+        f"PARTITIONED BY ({BUCKET}) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(table)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONTROL_SCHEMA).parquet(path).select(*CONTROL_SCHEMA.names)
+    return spark.read.schema(STORED_SCHEMA).parquet(path).select(*CONTROL_SCHEMA.names)
 
 
 def upsert_control(rows: DataFrame, path: str, table: str | None = None) -> None:
-    """Replace exactly the keys that ``rows`` holds; all other keys keep their files.
+    """Replace exactly the keys that ``rows`` holds, once each; all other keys stay as they are.
 
-    ``rows`` may be derived from the same path: the old files are replaced only when the job
-    commits, and a task that is run again writes to its own staging files.
+    ``rows`` are worked out once and written aside, then merged into the folders that hold their
+    keys; other folders are neither read nor written. ``rows`` may be derived from the same path:
+    the old files are replaced only when the job commits. One writer at a time: of two that touch
+    the same folder the later one wins, and the other's keys keep their older watermark.
     """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(*CONTROL_KEY), F.lit(BUCKETS)).cast("int")
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA])
+    new = materialise(typed.withColumn(BUCKET, bucket), "control-rows")
+    # At most BUCKETS numbers, however many keys there are; as constants they prune the read.
+    touched = [row[0] for row in new.select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    kept = (
+        spark.read.schema(STORED_SCHEMA)
+        .parquet(path)
+        .where(F.col(BUCKET).isin(touched))
+        .join(new.select(*CONTROL_KEY), CONTROL_KEY, "left_anti")
+    )
     (
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA])
-        .repartition(*CONTROL_KEY)
+        kept.unionByName(new)
+        .repartition(BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*CONTROL_KEY)
+        .partitionBy(BUCKET)
         .parquet(path)
     )
     if table is not None:
-        rows.sparkSession.catalog.recoverPartitions(table)
+        spark.catalog.recoverPartitions(table)

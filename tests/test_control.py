@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from highwater.operators.control import next_control
-from highwater.sources.control_table import ensure_control, read_control, upsert_control
+from highwater.sources.control_table import BUCKETS, ensure_control, read_control, upsert_control
 from tests.conftest import rows, ts
 
 OLD, NEW, AS_OF = ts("2000-01-01"), ts("2001-01-01T00:00:00.000001"), ts("2001-06-01")
@@ -70,6 +70,26 @@ def test_upsert_replaces_only_the_given_keys(spark, make, tmp_path):
     )
 
 
+def files(path):
+    return {f: f.stat().st_mtime_ns for f in path.glob("key_bucket=*/*.parquet")}
+
+
+def test_upsert_touches_only_the_folders_of_its_keys(spark, make, tmp_path):
+    path = tmp_path / "control"
+    ensure_control(spark, str(path))
+    many = [("s", f"t{i}", None, OLD, OLD, OLD) for i in range(500)]
+    upsert_control(make("control", many), str(path))
+    before = files(path)
+    assert len(before) == BUCKETS
+    upsert_control(make("control", [("s", "t7", None, OLD, AS_OF, NEW)]), str(path))
+    after = files(path)
+    assert len(after) == BUCKETS and len(before.items() & after.items()) == BUCKETS - 1
+    upsert_control(make("control", []), str(path))
+    assert files(path) == after
+    stored = {r[1]: r[5] for r in rows(read_control(spark, str(path)))}
+    assert len(stored) == 500 and stored["t7"] == NEW and stored["t8"] == OLD
+
+
 def test_upsert_may_read_the_table_it_writes(spark, make, tmp_path):
     path = str(tmp_path / "control")
     ensure_control(spark, path)
