@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from fixtures import views
+from highwater.fixtures import views
 from highwater.operators.candidates import candidates, changed_objects
 from highwater.operators.decision import decide, new_entities, stale_entities
 from highwater.operators.history import (
@@ -215,6 +215,17 @@ def test_hot_readiness_is_split_in_the_raw_grain(spark, make):
         assert split(candidates(feed, ready, ts("1999-01-01"), "MAIN", grain="raw")) == (True, 20000)
 
 
+def test_jobs_do_not_grow_with_the_entities(spark):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(sf):
+        spark.sparkContext.setJobGroup(f"manifest-{sf}", "")
+        entry.queries()["run_manifest"](spark, f"/root/testdata/sf{sf}").write.format("noop").mode("overwrite").save()
+        return len(tracker.getJobIdsForGroup(f"manifest-{sf}"))
+
+    assert jobs("0.1") == jobs("0.001") < 15
+
+
 def test_gate_is_evaluated_once(spark):
     plan = plan_of(entry.queries()["next_watermark"](spark, SF_DIR))
     assert len(set(re.findall(r"subquery#\d+", plan))) == 1
