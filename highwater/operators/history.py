@@ -21,7 +21,8 @@ ACTIVE = "Y"
 
 
 def _log_rows(run_log: DataFrame, subject_area: str) -> DataFrame:
-    return run_log.where((F.col("subject_area") == subject_area) & F.col("entity_id").isNotNull())
+    rows = run_log.where((F.col("subject_area") == subject_area) & F.col("entity_id").isNotNull())
+    return rows.withColumn("entity_id", F.lower("entity_id"))
 
 
 def _lease_is_live(run_log: DataFrame, max_hours: int, as_of: datetime):
@@ -32,6 +33,17 @@ def _lease_is_live(run_log: DataFrame, max_hours: int, as_of: datetime):
     )
 
 
+def _keep(per_entity: DataFrame, only: DataFrame | None) -> DataFrame:
+    """Keep the entities of ``only``, if given.
+
+    Asked for right after the grouping, Spark does this before it where ``only`` is small enough
+    to be broadcast: rows of all other entities are then dropped unshuffled.
+    """
+    if only is None:
+        return per_entity
+    return per_entity.join(only.select("entity_id").distinct(), "entity_id", "left_semi")
+
+
 def in_flight(
     run_log: DataFrame, subject_area: str, as_of: datetime, max_hours: int = MAX_RUN_HOURS
 ) -> DataFrame:
@@ -39,7 +51,7 @@ def in_flight(
     return (
         _log_rows(run_log, subject_area)
         .where(_lease_is_live(run_log, max_hours, as_of))
-        .select(F.lower("entity_id").alias("entity_id"))
+        .select("entity_id")
         .distinct()
     )
 
@@ -50,30 +62,28 @@ def run_history(
     as_of: datetime,
     max_hours: int = MAX_RUN_HOURS,
     floor: datetime = HISTORY_FLOOR,
+    *,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Per entity: is a run in flight, and when was it last refreshed by a run that did not fail?
 
     Both answers come from one pass over the log and one shuffle of per-task partial results.
     ``last_refreshed_ts`` is the floor if all usable runs have no time, and null if there is no
-    usable run or one is in flight.
+    usable run or one is in flight. ``only`` keeps the result to the entities of another frame.
     """
     log = with_ntz(_log_rows(run_log, subject_area), "src_refresh_ts")
     usable = F.coalesce(F.col("batch_status") != FAILED, F.lit(False))
     live = F.coalesce(_lease_is_live(run_log, max_hours, as_of), F.lit(False))
-    return (
-        log.groupBy(F.lower("entity_id").alias("entity_id"))
-        .agg(
-            F.bool_or(live).alias("in_flight"),
-            F.bool_or(usable).alias("has_history"),
-            F.max(F.when(usable, F.col("src_refresh_ts"))).alias("newest"),
-        )
-        .select(
-            "entity_id",
-            "in_flight",
-            F.when(
-                F.col("has_history") & ~F.col("in_flight"), F.coalesce("newest", ntz(floor))
-            ).alias("last_refreshed_ts"),
-        )
+    per_entity = log.groupBy("entity_id").agg(
+        F.bool_or(live).alias("in_flight"),
+        F.bool_or(usable).alias("has_history"),
+        F.max(F.when(usable, F.col("src_refresh_ts"))).alias("newest"),
+    )
+    has_time = F.col("has_history") & ~F.col("in_flight")
+    return _keep(per_entity, only).select(
+        "entity_id",
+        "in_flight",
+        F.when(has_time, F.coalesce("newest", ntz(floor))).alias("last_refreshed_ts"),
     )
 
 
@@ -93,13 +103,13 @@ def registered(run_registry: DataFrame, batch_ids: Sequence[str]) -> DataFrame:
     ).select(F.lower("entity_id").alias("entity_id"), "active_flag")
 
 
-def registry_status(run_registry: DataFrame, batch_ids: Sequence[str]) -> DataFrame:
+def registry_status(
+    run_registry: DataFrame, batch_ids: Sequence[str], *, only: DataFrame | None = None
+) -> DataFrame:
     """One row per registered entity: is any of its rows active?"""
-    return (
-        registered(run_registry, batch_ids)
-        .groupBy("entity_id")
-        .agg(F.bool_or(F.coalesce(F.col("active_flag") == ACTIVE, F.lit(False))).alias("active"))
-    )
+    active = F.coalesce(F.col("active_flag") == ACTIVE, F.lit(False))
+    rows = registered(run_registry, batch_ids)
+    return _keep(rows.groupBy("entity_id").agg(F.bool_or(active).alias("active")), only)
 
 
 def registry_refresh(

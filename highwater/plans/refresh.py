@@ -55,34 +55,60 @@ def watermark(inputs: RefreshInputs, settings: RefreshSettings) -> Column | Data
     return read_watermarks(stored, inputs.control, settings.watermark_floor)
 
 
-def decisions(
+def find(
     inputs: RefreshInputs,
     settings: RefreshSettings,
     since: datetime | str | Column | DataFrame,
 ) -> DataFrame:
-    """From the change feed to one decision per candidate, as one lazy plan."""
-    found = candidates(
+    """The candidates of a run."""
+    return candidates(
         inputs.change_feed,
         inputs.readiness,
         since,
         settings.source,
         floor=settings.watermark_floor,
     )
-    status = registry_status(inputs.run_registry, settings.batch_ids)
+
+
+def known(
+    inputs: RefreshInputs, settings: RefreshSettings, only: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """What the registry and the run log say, one row per entity each."""
+    status = registry_status(inputs.run_registry, settings.batch_ids, only=only)
     history = run_history(
         inputs.run_log,
         settings.subject_area,
         settings.as_of,
         settings.max_hours,
         settings.history_floor,
+        only=only,
     )
-    return decide(found, status, history)
+    return status, history
+
+
+def decisions(
+    inputs: RefreshInputs,
+    settings: RefreshSettings,
+    since: datetime | str | Column | DataFrame,
+) -> DataFrame:
+    """From the change feed to one decision per candidate, as one lazy plan."""
+    return decide(find(inputs, settings, since), *known(inputs, settings))
+
+
+def judge(found: DataFrame, inputs: RefreshInputs, settings: RefreshSettings) -> DataFrame:
+    """One decision per candidate, for candidates that are already written.
+
+    Registry and run log are kept to the entities found. Spark knows the size of the written
+    candidates; where they are few it broadcasts them and drops all other rows of the log before
+    grouping and shuffling it.
+    """
+    return decide(found, *known(inputs, settings, only=found))
 
 
 def plan_refresh(inputs: RefreshInputs, settings: RefreshSettings) -> RefreshPlan:
-    """Decide once, write the decisions to the shared folder, derive manifest and report."""
-    since = watermark(inputs, settings)
-    decided = materialise(decisions(inputs, settings, since), "decisions")
+    """Find and decide once, each written to the shared folder; derive manifest and report."""
+    found = materialise(find(inputs, settings, watermark(inputs, settings)), "candidates")
+    decided = materialise(judge(found, inputs, settings), "decisions")
     return RefreshPlan(decided, manifest(decided, settings.manifest), summary(decided))
 
 

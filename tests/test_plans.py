@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from highwater.fixtures import views
+from highwater.functions.lineage import materialise
 from highwater.operators.candidates import candidates, changed_objects
 from highwater.operators.decision import decide, new_entities, stale_entities
 from highwater.operators.history import (
@@ -19,6 +20,7 @@ from highwater.operators.history import (
 )
 from highwater.operators.outcomes import outcomes
 from highwater.operators.watermark import changed_since, read_watermarks, stored_watermark
+from highwater.plans.refresh import RefreshInputs, decisions, find, judge
 from highwater.sources.control_table import ensure_control, read_control, upsert_control
 from tests.conftest import ts
 
@@ -119,6 +121,22 @@ def test_rows_are_folded_on_each_task_before_a_shuffle(spark, feed):
     assert history.count("Exchange") == 1 and history.count("Scan") == 1
 
 
+def test_few_candidates_cut_the_log_before_it_is_shuffled(spark, tmp_path):
+    written = {}
+    for name in ("readiness", "run_registry", "run_log", "change_feed", "control"):
+        written[name] = str(tmp_path / name)
+        getattr(views, name)(spark, SF_DIR).write.parquet(written[name])
+    inputs = RefreshInputs(**{name: spark.read.parquet(path) for name, path in written.items()})
+    found = materialise(find(inputs, views.SETTINGS, views.WATERMARK), "candidates")
+    judged = judge(found, inputs, views.SETTINGS)
+    plan = plan_of(judged)
+    for column in ("batch_id", "batch_status"):
+        branch = plan[: re.search(rf"FileScan parquet \[entity_id#\d+,{column}#", plan).start()]
+        assert depth_first(branch[branch.rindex("partial_") :], "BroadcastHashJoin", "LeftSemi")
+    whole = decisions(inputs, views.SETTINGS, views.WATERMARK)
+    assert judged.exceptAll(whole).isEmpty() and whole.exceptAll(judged).isEmpty()
+
+
 def test_only_the_first_attempts_are_shuffled(spark):
     plan = plan_of(outcomes(views.dispatch_attempts(spark, SF_DIR)))
     assert depth_first(plan, "Window ", "WindowGroupLimit", "Final", "Exchange", "WindowGroupLimit", "Partial", "Scan")
