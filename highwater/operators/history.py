@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.skew import split_join
@@ -25,7 +25,7 @@ def _log_rows(run_log: DataFrame, subject_area: str) -> DataFrame:
     return rows.withColumn("entity_id", F.lower("entity_id"))
 
 
-def _lease_is_live(run_log: DataFrame, max_hours: int, as_of: datetime):
+def _lease_is_live(run_log: DataFrame, max_hours: int, as_of: datetime) -> Column:
     """``start + max_hours >= as_of``, with the bare column on one side so that it is pushed down."""
     start, limit = comparable(run_log, "batch_start_ts", as_of - timedelta(hours=max_hours))
     return (
