@@ -13,6 +13,17 @@ from highwater.operators.watermark import changed_since
 from highwater.settings import WATERMARK_FLOOR
 
 ENTITY_KEY = ["entity_id", "schema_name"]
+KEY_HASH = "key_hash"
+HASHED_KEY = [KEY_HASH, *ENTITY_KEY]
+
+
+def _key_hash() -> Column:
+    """A number that stands for the key, put before it in a grouping.
+
+    Sets are collected, and large sides joined, by sorting. Ids mostly begin alike, so with the
+    hash in front nearly every comparison is settled by one number and not by two texts.
+    """
+    return F.xxhash64(*ENTITY_KEY).alias(KEY_HASH)
 
 
 def changed_objects(change_feed: DataFrame) -> DataFrame:
@@ -21,7 +32,7 @@ def changed_objects(change_feed: DataFrame) -> DataFrame:
     Every task folds its rows into one set per key before the shuffle, so an entity that owns
     much of the feed sends one set per task and not its rows.
     """
-    return change_feed.groupBy(*ENTITY_KEY).agg(
+    return change_feed.groupBy(_key_hash(), *ENTITY_KEY).agg(
         F.collect_set(F.coalesce("object_name", F.lit(""))).alias("objects")
     )
 
@@ -58,7 +69,7 @@ def candidates(
     ready = ready_rows(readiness, source)
     if grain == "raw":
         return (
-            split_join(ready.distinct(), objects, ENTITY_KEY, "inner")
+            split_join(ready.distinct(), objects.drop(KEY_HASH), ENTITY_KEY, "inner")
             .select(
                 F.lower("entity_id").alias("entity_id"),
                 "schema_name",
@@ -70,15 +81,17 @@ def candidates(
         )
     if grain != "entity":
         raise ValueError(f"unknown grain {grain!r}")
-    state = ready.groupBy(*ENTITY_KEY).agg(
+    state = ready.groupBy(_key_hash(), *ENTITY_KEY).agg(
         F.bool_or("migrated").alias("migrated"), F.max("updated").alias("updated")
     )
     return (
-        objects.join(state, ENTITY_KEY)
-        .groupBy(F.lower("entity_id").alias("entity_id"), "schema_name")
+        objects.join(state, HASHED_KEY)
+        .withColumn("entity_id", F.lower("entity_id"))
+        .groupBy(_key_hash(), *ENTITY_KEY)
         .agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("objects")))).alias("object_list"),
             F.bool_or("migrated").cast("string").alias("migrated"),
             F.max("updated").alias("updated"),
         )
+        .drop(KEY_HASH)
     )
