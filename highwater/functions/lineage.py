@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +12,12 @@ SHARED_FOLDER_KEY = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below the session's shared folder.
 
-    A session that names none is a local one (tests, a laptop); only there is a temporary
-    folder of this machine good enough.
+    A session that names none (tests, a laptop) gets one below its warehouse, which every executor
+    of a cluster reaches as well.
     """
     base = spark.conf.get(SHARED_FOLDER_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SHARED_FOLDER_KEY} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="highwater-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

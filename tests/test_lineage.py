@@ -1,7 +1,5 @@
 from types import SimpleNamespace
 
-import pytest
-
 from highwater.functions.lineage import materialise, shared_folder
 from tests.conftest import rows
 
@@ -18,10 +16,10 @@ def test_folder_of_the_session_is_used():
     assert path != shared_folder(session("yarn", "s3://shared/run/"), "x")
 
 
-def test_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn", None), "x")
-    assert shared_folder(session("local[2]", None), "x")
+def test_a_session_without_one_gets_a_folder_below_its_warehouse():
+    conf = {"spark.sql.warehouse.dir": "file:/data/warehouse"}
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: conf.get(key, *default)))
+    assert shared_folder(named, "x").startswith("file:/data/warehouse/_shared/x-")
 
 
 def test_materialised_rows_come_from_files(spark):
