@@ -19,10 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it (one path on all hosts)."""
+    """Let Python workers import this package from where the driver has it (one path on all hosts).
+
+    Their large arrays go back to the system when freed, rather than staying with the worker.
+    """
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
+        env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+        env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
 def partitions(spark: SparkSession) -> int:
@@ -48,8 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    size = _signature(pairs)
-    while size[0]:
+    while _linked_on(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = (
@@ -63,14 +67,12 @@ def components(edges: DataFrame) -> DataFrame:
         pairs = materialise(
             small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges"
         )
-        before, size = size, _signature(pairs)
-        if before == size:
-            break
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots).distinct()
 
 
-def _signature(pairs: DataFrame) -> tuple:
-    """Row count and an order-free hash: two numbers that tell whether a round changed anything."""
-    wide = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(wide)).first())
+def _linked_on(pairs: DataFrame) -> bool:
+    """Whether a smaller node of some pair is the larger one of another, or a node has two pairs."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"))
+    ends = ends.unionByName(pairs.select("v").distinct().select(F.col("v").alias("node"), F.lit(1).alias("up")))
+    return bool(ends.groupBy("node").agg(F.sum("up").alias("n")).where("n > 1").limit(1).count())

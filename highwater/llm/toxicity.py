@@ -239,7 +239,7 @@ def _scores(model):
     def run(batches):
         learnt, memo = model.value, Memo()
         for batch in batches:
-            for part, texts in chunks(batch):
+            for part, texts in chunks(batch, size=4 << 20):
                 found = score(learnt, features(learnt, words(texts), memo))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], [*part.schema.names[:-1], "score"])
 

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -68,8 +68,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and their bounds; a null is an empty text."""
     if texts.null_count:
         texts = texts.fill_null("")
-    texts = texts.cast(pa.large_string())
-    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    bounds = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.empty(0, np.uint8)
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
@@ -96,7 +96,7 @@ def words(texts: pa.Array) -> Words:
     filled = ~space
     starts = np.flatnonzero(filled & before)
     ends = np.flatnonzero(filled & after) + 1
-    size = CHUNK_BYTES
+    size = 1 << 18
     while size < n:
         size *= 2
     powers, inverse = _powers(size)
@@ -133,14 +133,16 @@ class Index:
         return at
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Slices of a batch whose texts have about CHUNK_BYTES; a longer text stands alone."""
+def chunks(
+    batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of a batch whose texts have about ``size`` bytes; a longer text stands alone."""
     texts = batch.column(batch.schema.get_field_index(column))
-    sizes = texts.cast(pa.large_string()).fill_null("") if texts.null_count else texts.cast(pa.large_string())
-    ends = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset : sizes.offset + len(sizes) + 1]
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     at = 0
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
         to = min(to, len(texts))
         yield batch.slice(at, to - at), texts.slice(at, to - at)
         at = to
