@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ from highwater.llm.words import Index, Words, chunks, mix, words
 FOLDS = 4
 HELD_OUT = 2
 FIT = 3  # the fold whose labels fit the curve; the models count the others
-SAMPLE = 4000
-SAMPLE_BYTES = 32_000_000
+SAMPLE = 2000
+SAMPLE_BYTES = 16_000_000
 ORDER = 6
 DISCOUNT = 0.75
 THRESHOLD = 0.3
@@ -219,22 +220,42 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     sample = _sample(labels.where(F.col("fold") != FIT), limit).unionByName(
         _sample(labels.where(F.col("fold") == FIT), limit // 2)
     )
-    rows = _texts(docs, sample).select("fold", "toxic", "text").toArrow()
-    table = words(rows["text"].combine_chunks().cast(pa.large_string()))
-    toxic = rows["toxic"].to_numpy().astype(float)
-    fitted = rows["fold"].to_numpy() == FIT
-    owner = table.owner
-    counted = ~fitted[owner] if len(owner) else np.empty(0, bool)
-    _, first, inverse = np.unique(table.hashes[counted], return_index=True, return_inverse=True)
-    starts, ends = table.starts[counted][first], table.ends[counted][first]
-    of = toxic[owner[counted]] if len(owner) else np.empty(0)
-    counts = np.stack([np.bincount(inverse, 1 - of, len(first)), np.bincount(inverse, of, len(first))], axis=1)
-    model = learn(_spell(table.data, starts, ends - starts), counts)
-    x = features(model, table, Memo())
-    fit(model, x[fitted], toxic[fitted])
+    rows = _texts(docs, sample).select("fold", "toxic", "text").toArrow().combine_chunks().to_batches()
+    model = learn(*_expressions(rows))
+    memo, x, y = Memo(), [np.empty((0, 4))], [np.empty(0)]
+    for batch in rows:
+        batch = batch.filter(pc.equal(batch["fold"], FIT))
+        for part, texts in chunks(batch):
+            x.append(features(model, words(texts), memo))
+            y.append(part["toxic"].to_numpy(zero_copy_only=False).astype(float))
+    fit(model, np.concatenate(x), np.concatenate(y))
     return model
 
 
+def _expressions(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct expressions of the counted documents, spelled, and their counts per class."""
+    names, spelled, counts = [], [], []
+    for batch in rows:
+        batch = batch.filter(pc.not_equal(batch["fold"], FIT))
+        for part, texts in chunks(batch):
+            found = words(texts)
+            toxic = part["toxic"].to_numpy(zero_copy_only=False).astype(float)[found.owner]
+            h, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
+            wide = np.zeros((len(h), LONGEST + 2), np.uint8)
+            own = _spell(found.data, found.starts[first], (found.ends - found.starts)[first])
+            wide[:, : own.shape[1]] = own
+            names.append(h)
+            spelled.append(wide)
+            counts.append(np.stack([np.bincount(inverse, x, len(h)) for x in (1 - toxic, toxic)], axis=1))
+    if not names:
+        return np.zeros((0, 2), np.uint8), np.zeros((0, 2))
+    h, first, inverse = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    counts = np.concatenate(counts)
+    return np.concatenate(spelled)[first], np.stack(
+        [np.bincount(inverse, counts[:, k], len(h)) for k in (0, 1)], axis=1
+    )
+
+
 def _scores(model):
     def run(batches):
         learnt, memo = model.value, Memo()
