@@ -40,6 +40,11 @@ def words_of(text) -> F.Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def let(value, body) -> F.Column:
+    """``body`` of a value that is computed once, also where a lambda uses it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of ``edges`` (a, b) reaches.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.skew import split_join
-from highwater.llm.common import SPACES
+from highwater.llm.common import SPACES, let
 
 WINDOW = 3
 _FILLED = f"[^{SPACES}]"
@@ -30,16 +30,18 @@ def _filled(lines) -> F.Column:
 def _windows(docs: DataFrame) -> DataFrame:
     """One row per window: two 64-bit hashes of its lines, its document, and its place there."""
 
-    def window(k):
-        lines = [F.get(F.col("filled"), k + j)["line"] for j in range(WINDOW)]
-        return F.struct(F.xxhash64(*lines).alias("h"), F.xxhash64(F.lit(1), *lines).alias("g"))
+    def windows(filled):
+        def window(k):
+            lines = [F.get(filled, k + j)["line"] for j in range(WINDOW)]
+            return F.struct(F.xxhash64(*lines).alias("h"), F.xxhash64(F.lit(1), *lines).alias("g"))
 
-    slim = docs.select("doc_id", F.xxhash64("text").alias("th"), _filled(_lines(F.col("text"))).alias("filled"))
-    slim = slim.where(F.size("filled") >= WINDOW)
-    hashed = F.transform(F.sequence(F.lit(0), F.size("filled") - WINDOW), window)
+        return F.when(
+            F.size(filled) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(filled) - WINDOW), window)
+        )
+
+    hashed = let(_filled(_lines(F.col("text"))), windows)
     return (
-        slim.select("doc_id", "th", hashed.alias("windows"))
-        .select("doc_id", "th", F.posexplode("windows").alias("k", "w"))
+        docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(hashed).alias("k", "w"))
         .select("w.h", "w.g", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "k").alias("place"))
     )
 
@@ -70,13 +72,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias(names["id"]), F.col("th").alias(names["th"]), F.col("ks").alias(names["ks"])
     )
     same = F.col("doc_id").eqNullSafe(F.col(names["id"])) & (F.xxhash64("text") == F.col(names["th"]))
-    lines = _lines(F.col("text"))
-    at = F.transform(_filled(lines), lambda x: x["at"])
-    gone = F.flatten(F.transform(F.col(names["ks"]), lambda k: F.slice(at, k + 1, WINDOW)))
-    kept = F.array_except(F.transform(lines, lambda _, i: i), gone)
-    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    ks = F.col(names["ks"])
+
+    def without(lines):
+        def kept(at):
+            gone = F.flatten(F.transform(ks, lambda k: F.slice(at, k + 1, WINDOW)))
+            return F.array_except(F.transform(lines, lambda _, i: i), gone)
+
+        left = let(F.transform(_filled(lines), lambda x: x["at"]), kept)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    text = let(_lines(F.col("text")), without)
     joined = docs.join(covered, same, "left")
-    return joined.withColumn("text", F.when(F.col(names["ks"]).isNull(), F.col("text")).otherwise(text)).select(
+    return joined.withColumn("text", F.when(ks.isNull(), F.col("text")).otherwise(text)).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.llm.common import SPACES, words_of
+from highwater.llm.common import SPACES, let, words_of
 
 # The limits of the base rules and the commonest words of each language.
 SYMBOLS = "#*$%&|<>"
@@ -68,7 +68,7 @@ def _repeat_words(words) -> F.Column:
                 | F.coalesce(x["h"] == F.get(s, i - 1)["h"], F.lit(False)),
             )
             at = F.sort_array(F.transform(twice, lambda x: x["at"]))
-            return _let(at, covered)
+            return let(at, covered)
 
         def covered(at):
             steps = F.transform(
@@ -76,20 +76,15 @@ def _repeat_words(words) -> F.Column:
             )
             return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
 
-        return _let(ordered, places)
+        return let(ordered, places)
 
-    distinct = _let(
+    distinct = let(
         hashes,
         lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(repeated(h)),
     )
     return F.when(last < 0, F.lit(0).cast("long")).otherwise(distinct)
 
 
-def _let(value, body) -> F.Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _shares(counts) -> F.Column:
     """An array of counts as shares of their sum; all 0 without any."""
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
