@@ -124,7 +124,7 @@ def ratios(model: Model, spelled: np.ndarray) -> np.ndarray:
 class Memo:
     """Ratios of expressions by their hash, for as long as a task runs; starts anew when full."""
 
-    FULL = 1_500_000
+    FULL = 500_000
 
     def __init__(self):
         self.index, self.values = Index(np.empty(0, np.uint64)), np.empty(0)
@@ -136,14 +136,15 @@ class Memo:
         value[known] = self.values[at[known]]
         fresh = np.flatnonzero(~known)
         starts, lengths = found.starts[first[fresh]], (found.ends - found.starts)[first[fresh]]
-        for k in range(0, len(fresh), 50_000):
-            part = slice(k, k + 50_000)
+        for k in range(0, len(fresh), 20_000):
+            part = slice(k, k + 20_000)
             value[fresh[part]] = ratios(model, _spell(found.data, starts[part], lengths[part]))
         if self.index.n > self.FULL:
             self.__init__()
-        keys = np.concatenate([self.index.keys[: self.index.n], names[fresh]])
-        order = np.argsort(keys, kind="stable")
-        self.index, self.values = Index(keys[order]), np.concatenate([self.values, value[fresh]])[order]
+        old = self.index.keys[: self.index.n]
+        at = np.searchsorted(old, names[fresh])  # both are sorted
+        self.index = Index(np.insert(old, at, names[fresh]))
+        self.values = np.insert(self.values, at, value[fresh])
         return value
 
 
@@ -260,7 +261,7 @@ def _scores(model):
     def run(batches):
         learnt, memo = model.value, Memo()
         for batch in batches:
-            for part, texts in chunks(batch, size=4 << 20):
+            for part, texts in chunks(batch):
                 found = score(learnt, features(learnt, words(texts), memo))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], [*part.schema.names[:-1], "score"])
 

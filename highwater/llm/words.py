@@ -115,8 +115,8 @@ class Index:
         self.n = len(keys)
         bits = max(1, int(self.n).bit_length())
         self.shift = np.uint64(64 - bits)
-        edges = np.arange(1 << bits, dtype=np.uint64) << self.shift
-        self.starts = np.append(np.searchsorted(keys, edges), self.n)
+        counts = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The place of each of ``wanted``; n where there is none."""
