@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.llm.bpe import Encoder
+from highwater.llm.bpe import Ids
 from highwater.llm.common import ship
 from highwater.llm.words import chunks
 
@@ -33,13 +33,12 @@ def _pieces(limit: int, path):
     end = np.array([END], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(lambda ids: np.array(ids, "<u4").tobytes(), path)
+        encoder = Ids(path)
         for batch in batches:
             for part, texts in chunks(batch):
                 rows = ([], [], [], [], [])
-                found = encoder.encode(t or "" for t in texts.to_pylist())
-                for id_, ids in zip(part.column(0).to_pylist(), found, strict=True):
-                    data = b"".join(ids) + end
+                for id_, text in zip(part.column(0).to_pylist(), texts.to_pylist(), strict=True):
+                    data = encoder.encode(text or "") + end
                     n = len(data) // 4
                     start, piece = 0, 0
                     while start < n:
