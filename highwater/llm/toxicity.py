@@ -27,8 +27,8 @@ from highwater.llm.words import Index, Words, chunks, mix, words
 FOLDS = 4
 HELD_OUT = 2
 FIT = 3  # the fold whose labels fit the curve; the models count the others
-SAMPLE = 2000
-SAMPLE_BYTES = 16_000_000
+SAMPLE = 1500
+SAMPLE_BYTES = 12_000_000
 ORDER = 6
 DISCOUNT = 0.75
 THRESHOLD = 0.3
