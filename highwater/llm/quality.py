@@ -159,9 +159,10 @@ def references(full: DataFrame) -> DataFrame:
 def judge(measured: DataFrame) -> DataFrame:
     """Adds base_failed, char_distance, word_distance and kept."""
     full = _with_rests(measured)
-    both = full.crossJoin(F.broadcast(references(full)))  # the other side is one row
+    found = references(full).first()  # a fixed number of shares
 
-    def distance(columns, refs):
+    def distance(columns, shares):
+        refs = F.array(*[F.array(*[F.lit(x) for x in q]) for q in shares])
         own = _shares(F.array(*[F.col(c).cast("double") for c in columns]))
         there = F.filter(refs, lambda q: F.exists(q, lambda x: x > 0))
         return F.coalesce(F.array_min(F.transform(there, lambda q: js_distance(own, q))), F.lit(0.0))
@@ -170,9 +171,8 @@ def judge(measured: DataFrame) -> DataFrame:
     odd = (F.col("word_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)
     odd = odd | ((F.col("n_words") >= MIN_WORDS_VERDICT) & (F.col("word_distance") > MAX_WORD_DISTANCE))
     return (
-        both.withColumn("char_distance", distance(CLASSES, F.col("char_refs")))
-        .withColumn("word_distance", distance(_COMMON_COLUMNS, F.col("word_refs")))
-        .drop("char_refs", "word_refs")
+        full.withColumn("char_distance", distance(CLASSES, found.char_refs))
+        .withColumn("word_distance", distance(_COMMON_COLUMNS, found.word_refs))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & ~odd)
         .withColumn("n_symbols", F.col("symbol"))

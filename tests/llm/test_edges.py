@@ -1,0 +1,150 @@
+"""Nulls, empty and long texts, repeated rows, empty tables and clashing names, for every operator."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from highwater.llm.ann import nearest_neighbours
+from highwater.llm.line_dedup import dedup_lines
+from highwater.llm.lm_score import score_documents
+from highwater.llm.mixing import mix, mixed_copies
+from highwater.llm.ngram_join import first_of_components, jaccard_components
+from highwater.llm.packing import best_fit, pack
+from highwater.llm.quality import quality
+from highwater.llm.sharding import shard_documents
+from highwater.llm.token_count import count_tokens
+from highwater.llm.toxicity import score_toxicity
+
+PROSE = " ".join(f"word{i}" for i in range(60))
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+LINES = "a first line\nthe second line\na third line\nonly here"
+ROWS = [
+    (1, PROSE, "en", "a", 5),
+    (2, PROSE, "en", "a", 5),
+    (2, PROSE, "en", "a", 5),
+    (3, PROSE + " more", "xx", None, 5),
+    (4, None, None, "b", None),
+    (5, "", "de", "b", 0),
+    (6, " \n\t ", "de", "b", 4),
+    (None, "no id at all", "en", "c", 1),
+    (7, LONG, "en", "c", 9),
+    (8, LINES, "en", "a", 1),
+    (9, "intro\n" + LINES, "en", "a", 1),
+    (10, "1 <|endoftext|>  two   spaces  ", "en", "a", 1),
+    (11, "ÀÉ é́ 漢字 🙂 \x1c!", "fr", "é", 1),
+]
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+CLASHES = ("node", "key", "h", "id", "row", "size", "th", "th_0", "ks", "first", "mixed", "own", "cut", "score", "_id")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    for name in CLASHES:
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 0, 1), (1, 0, 1), (7, 1, 0), (None, 1, 1), (8, None, None)], "doc_id bigint, quality int, toxic int")
+
+
+def everything(docs, labels):
+    return {
+        "jaccard": jaccard_components(docs),
+        "first": first_of_components(docs),
+        "lines": dedup_lines(docs),
+        "shards": shard_documents(docs),
+        "scores": score_documents(docs),
+        "tokens": count_tokens(docs),
+        "packed": pack(docs),
+        "quality": quality(docs),
+        "toxicity": score_toxicity(docs, labels),
+        "mix": mix(docs),
+        "copies": mixed_copies(docs),
+    }
+
+
+def test_empty_tables(docs, labels):
+    for name, got in everything(docs.limit(0), labels.limit(0)).items():
+        assert got.count() == 0, name
+
+
+def test_every_row_has_a_result(docs, labels):
+    got = everything(docs, labels)
+    for name in ("jaccard", "lines", "shards", "scores", "tokens", "quality", "toxicity", "mix"):
+        assert got[name].count() == len(ROWS), name
+    for name in ("first", "lines", "copies"):
+        assert got[name].columns == docs.columns
+
+
+def test_components(docs):
+    got = sorted(map(tuple, jaccard_components(docs).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    by = {r[0]: r[1:] for r in got}
+    assert by[1] == (56, 1) and by[2] == (56, 1) and by[3] == (57, 1)
+    assert by[4] == (0, 4) and by[5] == (0, 5) and by[6] == (0, 6)
+    assert by[None] == (1, None) and by[9] == (8, 8)  # 7 of 8 shingles
+    kept = [r.doc_id for r in first_of_components(docs).select("doc_id").collect()]
+    assert sorted(kept, key=str) == sorted([1, 4, 5, 6, None, 7, 8, 10, 11], key=str)
+
+
+def test_lines_go_where_they_come_again(docs):
+    got = {r.doc_id: r.text for r in dedup_lines(docs).select("doc_id", "text").collect()}
+    assert got[8] == LINES and got[9] == "intro" and got[4] is None and got[6] == " \n\t "
+
+
+def test_null_and_empty_texts(docs, labels):
+    counts = {r.doc_id: r for r in count_tokens(docs).collect()}
+    assert (counts[4].n_bytes, counts[4].n_tokens) == (0, 0) == (counts[5].n_bytes, counts[5].n_tokens)
+    pieces = pack(docs).where("doc_id IN (4, 5)").collect()
+    assert [(p.piece, p.length) for p in pieces] == [(0, 1), (0, 1)]
+    sizes = {r.doc_id: (r["size"], r.text_crc32) for r in shard_documents(docs).collect()}
+    assert sizes[4] == sizes[5] == (1, 0)
+    scores = {r.doc_id: r for r in score_documents(docs).collect()}
+    assert scores[4].n_tokens == scores[5].n_tokens == scores[6].n_tokens == 1
+    flags = {r.id: r for r in score_toxicity(docs, labels).selectExpr("row.doc_id AS id", "score", "predicted").collect()}
+    assert flags[4].score == flags[5].score == flags[6].score
+
+
+def test_special_strings_and_odd_spaces_are_counted_as_the_library_does(docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {r[0]: len(library.encode(r[1] or "", add_special_tokens=False).ids) for r in ROWS}
+    assert {r.doc_id: r.n_tokens for r in count_tokens(docs).collect()} == want
+    assert {r.doc_id: r.n for r in pack(docs).groupBy("doc_id", "piece").agg(F.first("length").alias("l"))
+            .groupBy("doc_id").agg(F.sum("l").alias("n")).collect()} == {i: n + 1 for i, n in want.items()}
+
+
+def test_packing_holds_every_capacity():
+    lengths = np.random.default_rng(1).integers(1, 100, 3000)
+    for rule in ("norm", "dot"):
+        for capacity in ((100, 3, 10_000), (100, 50, 2_500), (100, 1, 10_000)):
+            fit = lengths[lengths**2 <= capacity[2]]
+            sequence, offset = best_fit(fit, capacity, (1.0, 0.5, 0.5), rule)
+            for s in np.unique(sequence):
+                own = fit[sequence == s]
+                assert own.sum() <= capacity[0] and len(own) <= capacity[1] and (own**2).sum() <= capacity[2]
+                assert sorted(offset[sequence == s]) == [0, *np.cumsum(own[np.argsort(offset[sequence == s])])[:-1]]
+
+
+def test_neighbours_leave_out_what_is_no_vector(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
+        (6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (None, [1.0, 0.0]), (9, [1e300, 1e300]), (2, [0.0, 1.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("vec", F.lit(1))
+    got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in nearest_neighbours(df).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 1.0), (0, 2, 9, round(0.5**0.5, 9)), (0, 3, 2, 0.0)]
+    assert nearest_neighbours(df.limit(0)).count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, docs, labels, tmp_path):
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    plain.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
