@@ -1,6 +1,6 @@
 """SQL that computes every registered query a second time, written from the semantics alone.
 
-The statements follow the plain definition (nested ``IN`` and ``NOT IN``, grouping after the
+The statements follow the plain definition (``EXISTS`` and ``NOT EXISTS``, grouping after the
 joins) and not the plans of the operators.
 """
 
@@ -44,8 +44,11 @@ CTES = {
                TIMESTAMP '1999-01-01 00:00:00' AS created_timestamp,
                TIMESTAMP '1999-01-01 00:00:00' AS updated_timestamp,
                CASE WHEN object_name = 't_A1' THEN NULL
+                    WHEN object_name = 't_N2' THEN TIMESTAMP '1997-03-04 05:06:07.25'
                     ELSE TIMESTAMP '1999-01-01 00:00:00' END AS last_modified_datetime
-        FROM change_feed WHERE object_name IS NOT NULL AND object_name NOT LIKE 't!_R%' ESCAPE '!'""",
+        FROM (SELECT schema_name, coalesce(object_name, '') AS object_name FROM change_feed
+              UNION ALL SELECT 'raw_o', 't_quiet')
+        WHERE object_name NOT LIKE 't!_R%' ESCAPE '!'""",
     "dispatch_attempts": """
         SELECT concat('CUST', CAST(user_id AS VARCHAR)) AS entity_id,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt_no,
@@ -57,13 +60,13 @@ CTES = {
     "watermarks": """
         SELECT s.schema_name, s.object_name,
                coalesce(c.last_modified_datetime, TIMESTAMP '1990-01-01 00:00:00') AS watermark
-        FROM (SELECT DISTINCT schema_name, object_name FROM change_feed WHERE object_name IS NOT NULL) s
+        FROM (SELECT DISTINCT schema_name, coalesce(object_name, '') AS object_name FROM change_feed) s
         LEFT JOIN control c ON c.schema_name = s.schema_name AND c.table_name = s.object_name""",
     "changed": """
         SELECT * FROM change_feed WHERE updated > TIMESTAMP '1999-01-01 00:00:00'""",
     "changed_by_source": """
         SELECT f.* FROM change_feed f
-        LEFT JOIN watermarks w ON w.schema_name = f.schema_name AND w.object_name = f.object_name
+        LEFT JOIN watermarks w ON w.schema_name = f.schema_name AND w.object_name = coalesce(f.object_name, '')
         WHERE f.updated > coalesce(w.watermark, TIMESTAMP '1990-01-01 00:00:00')""",
     "matched": """
         SELECT c.entity_id, c.schema_name, coalesce(c.object_name, '') AS object_name, r.migrated, r.updated
@@ -87,9 +90,9 @@ CTES = {
         SELECT lower(entity_id) AS entity_id,
                coalesce(max(src_refresh_ts), TIMESTAMP '1985-01-01 00:00:00') AS last_refreshed_ts
         FROM run_log
-        WHERE batch_status <> 'FAILED' AND subject_area = 'MAIN'
-          AND lower(entity_id) IN (SELECT entity_id FROM candidates)
-          AND lower(entity_id) NOT IN (SELECT entity_id FROM in_flight)
+        WHERE batch_status <> 'FAILED' AND subject_area = 'MAIN' AND entity_id IS NOT NULL
+          AND EXISTS (SELECT 1 FROM candidates c WHERE c.entity_id = lower(run_log.entity_id))
+          AND NOT EXISTS (SELECT 1 FROM in_flight i WHERE i.entity_id = lower(run_log.entity_id))
         GROUP BY lower(entity_id)""",
     "registry_refresh": """
         SELECT lower(r.entity_id) AS entity_id, l.last_refreshed_ts, r.active_flag
@@ -97,14 +100,19 @@ CTES = {
         LEFT JOIN last_refresh l ON l.entity_id = lower(r.entity_id)""",
     "decisions": """
         SELECT c.*, l.last_refreshed_ts,
-               CASE WHEN c.entity_id NOT IN (SELECT entity_id FROM registry_refresh) THEN 'NEW'
-                    WHEN c.entity_id NOT IN (SELECT entity_id FROM registry_refresh WHERE active_flag = 'Y')
-                      THEN 'INACTIVE'
-                    WHEN c.entity_id IN (SELECT entity_id FROM in_flight) THEN 'IN_FLIGHT'
+               CASE WHEN NOT k.registered THEN 'NEW'
+                    WHEN NOT k.active THEN 'INACTIVE'
+                    WHEN EXISTS (SELECT 1 FROM in_flight i WHERE i.entity_id = c.entity_id) THEN 'IN_FLIGHT'
                     WHEN l.last_refreshed_ts IS NULL THEN 'NO_HISTORY'
                     WHEN c.updated > l.last_refreshed_ts THEN 'REFRESH'
                     ELSE 'UP_TO_DATE' END AS decision
-        FROM candidates c LEFT JOIN last_refresh l ON l.entity_id = c.entity_id""",
+        FROM candidates c
+        JOIN (SELECT entity_id, schema_name,
+                     EXISTS (SELECT 1 FROM registry_refresh r WHERE r.entity_id = x.entity_id) AS registered,
+                     EXISTS (SELECT 1 FROM registry_refresh r
+                             WHERE r.entity_id = x.entity_id AND r.active_flag = 'Y') AS active
+              FROM candidates x) k ON k.entity_id = c.entity_id AND k.schema_name = c.schema_name
+        LEFT JOIN last_refresh l ON l.entity_id = c.entity_id AND k.registered""",
     "manifest": """
         SELECT CASE WHEN decision = 'NEW' THEN 0 ELSE 1 END AS run_order,
                entity_id, schema_name,
@@ -131,8 +139,8 @@ CTES = {
                     FROM dispatch_attempts WHERE attempt_no <= 3)
               GROUP BY entity_id)""",
     "newest": """
-        SELECT schema_name, object_name AS table_name, max(updated) AS newest
-        FROM change_feed WHERE object_name IS NOT NULL GROUP BY ALL""",
+        SELECT schema_name, coalesce(object_name, '') AS table_name, max(updated) AS newest
+        FROM change_feed GROUP BY ALL""",
     "moved_control": """
         SELECT coalesce(c.schema_name, n.schema_name) AS schema_name,
                coalesce(c.table_name, n.table_name) AS table_name,
@@ -220,7 +228,7 @@ def oracle_sql() -> dict[str, str]:
         "new_entities": _with(
             "registry_refresh",
             f"SELECT {_CANDIDATE_COLUMNS} FROM candidates "
-            "WHERE entity_id NOT IN (SELECT entity_id FROM registry_refresh)",
+            "WHERE NOT EXISTS (SELECT 1 FROM registry_refresh r WHERE r.entity_id = candidates.entity_id)",
         ),
         "stale_entities": _with(
             "registry_refresh",

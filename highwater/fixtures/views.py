@@ -14,6 +14,7 @@ from highwater.plans.refresh import RefreshInputs
 from highwater.settings import ManifestSettings, RefreshSettings
 
 WATERMARK = datetime(1999, 1, 1)
+EARLIER = datetime(1997, 3, 4, 5, 6, 7, 250000)
 SETTINGS = RefreshSettings(
     source="MAIN",
     subject_area="MAIN",
@@ -122,31 +123,37 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (schema, object) that the change feed names; read without the join behind the feed."""
+    flagged = F.concat(F.lit("t_"), "l_returnflag", F.col("l_linenumber").cast("string"))
+    named_object = F.coalesce(F.nullif(flagged, F.lit("t_N1")), F.lit(""))
     return (
         table(spark, sf_dir, "lineitem")
         .select(
             F.concat(F.lit("raw_"), F.lower("l_linestatus")).alias("schema_name"),
-            F.nullif(
-                F.concat(F.lit("t_"), "l_returnflag", F.col("l_linenumber").cast("string")), F.lit("t_N1")
-            ).alias("object_name"),
+            named_object.alias("object_name"),
         )
-        .where(F.col("object_name").isNotNull())
         .distinct()
     )
 
 
 def control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some sources have a stored watermark, some a null one, some no row."""
+    """Some sources have a stored watermark (of two dates), some a null one, some no row.
+
+    One stored key has no change in the feed.
+    """
     stamp = ntz(WATERMARK)
+    quiet = spark.createDataFrame([("raw_o", "t_quiet")], "schema_name string, object_name string")
     return (
         sources(spark, sf_dir)
         .where(~F.col("object_name").startswith("t_R"))
+        .unionByName(quiet)
         .select(
             *[F.col(s).alias(c) for s, c in zip(SOURCE_KEY, CONTROL_KEY)],
             F.lit(None).cast("string").alias("entity_id"),
             stamp.alias("created_timestamp"),
             stamp.alias("updated_timestamp"),
-            F.when(F.col("object_name") != "t_A1", stamp).alias("last_modified_datetime"),
+            F.when(F.col("object_name") == "t_N2", ntz(EARLIER))
+            .when(F.col("object_name") != "t_A1", stamp)
+            .alias("last_modified_datetime"),
         )
     )
 
@@ -165,6 +172,14 @@ def dispatch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_attempts(manifest: DataFrame) -> DataFrame:
+    """Answers to every record of a manifest: some are told to wait first, then all are accepted."""
+    answers = F.when(F.length("entity_id") % 2 == 0, F.array(F.lit(503), F.lit(200))).otherwise(F.array(F.lit(200)))
+    return manifest.select(
+        "entity_id", "schema_name", F.posexplode(answers).alias("attempt_id", "status_code")
+    ).withColumn("attempted_at", ntz(SETTINGS.as_of))
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> RefreshInputs:
     return RefreshInputs(
         change_feed(spark, sf_dir),

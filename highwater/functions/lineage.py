@@ -30,3 +30,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove the folders of materialised tables that nothing reads any more."""
+    for df in written:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

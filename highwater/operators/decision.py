@@ -48,10 +48,11 @@ def decide(candidates: DataFrame, registry_status: DataFrame, history: DataFrame
     """One decision per candidate; ``registry_status`` and ``history`` hold one row per entity.
 
     The first reason that applies wins: not registered, not active, a run in flight, no usable
-    history, changed since the last refresh, up to date. What is known per entity is put together
-    first, so that the candidates are joined, and shuffled, once.
+    history, changed since the last refresh, up to date. The registry's entities get their history
+    first, so that the candidates are joined, and shuffled, once; an entity that is not registered
+    is new whatever its history, and has no last refresh here.
     """
-    known = registry_status.join(history, "entity_id", "full_outer")
+    known = registry_status.join(history, "entity_id", "left")
     return (
         split_join(candidates, known, ["entity_id"], "left")
         .withColumn(

@@ -14,6 +14,11 @@ from highwater.settings import WATERMARK_FLOOR
 SOURCE_KEY = ["schema_name", "object_name"]
 
 
+def named(column: str) -> Column:
+    """An object's name; a change without one belongs to the object with the empty name."""
+    return F.coalesce(F.col(column), F.lit(""))
+
+
 def read_watermarks(
     sources: DataFrame, control: DataFrame, floor: datetime = WATERMARK_FLOOR
 ) -> DataFrame:
@@ -24,10 +29,10 @@ def read_watermarks(
     """
     stored = with_ntz(control, "last_modified_datetime").select(
         "schema_name",
-        F.col("table_name").alias("object_name"),
+        named("table_name").alias("object_name"),
         F.col("last_modified_datetime").alias("stored"),
     )
-    wanted = sources.select(*SOURCE_KEY, F.lit(True).alias("wanted"))
+    wanted = sources.select("schema_name", named("object_name").alias("object_name"), F.lit(True).alias("wanted"))
     return (
         wanted.unionByName(stored, allowMissingColumns=True)
         .groupBy(*SOURCE_KEY)
@@ -68,9 +73,10 @@ def changed_since(
         updated, value = comparable(change_feed, "updated", watermark)
         return with_ntz(change_feed.where(updated > value), "updated")
     dated = with_ntz(change_feed.where(F.col("updated").isNotNull()), "updated")
-    marks = watermark.select(*SOURCE_KEY, "watermark")
+    keys = ["schema_name", "_object"]
+    marks = watermark.select("schema_name", F.col("object_name").alias("_object"), "watermark")
     return (
-        split_join(dated, marks, SOURCE_KEY, "left")
+        split_join(dated.withColumn("_object", named("object_name")), marks, keys, "left")
         .where(F.col("updated") > F.coalesce("watermark", ntz(floor)))
         .select(*change_feed.columns)
     )

@@ -122,6 +122,7 @@ def settle(
 ) -> DataFrame:
     """The control rows after the attempts; unchanged unless every manifest record was accepted.
 
+    Whether they were is read first (one boolean), so a run that failed does not read the feed again.
     ``attempts`` has one row per attempt with the record's entity and schema.
     """
     ended = outcomes(attempts, settings.max_attempts, settings.retry_codes, keys=RECORD_KEY)
@@ -136,8 +137,8 @@ def settle(
 
 
 def commit(
-    settled: DataFrame, settings: RefreshSettings, path: str, table: str | None = None
+    settled: DataFrame, settings: RefreshSettings, path: str
 ) -> None:
     """Store the rows that moved; with a closed gate there are none and nothing is written."""
     moved = settled.where(F.col("updated_timestamp") == ntz(settings.as_of))
-    upsert_control(moved, path, table)
+    upsert_control(moved, path, settings.run_id)

@@ -34,10 +34,10 @@ class ManifestSettings:
 
 @dataclass(frozen=True)
 class RefreshSettings:
-    """What one run looks at. ``as_of`` stands for the wall clock.
+    """What one run looks at. ``as_of`` stands for the wall clock, ``run_id`` names the run's commit.
 
     ``change_source`` is the (schema, table) under which the change feed as a whole keeps its
-    watermark; without it every (schema, object) of the feed keeps its own.
+    watermark; with None every (schema, object) keeps its own, and a run reads the whole feed.
     """
 
     source: str
@@ -45,9 +45,10 @@ class RefreshSettings:
     batch_ids: tuple[str, ...]
     as_of: datetime
     manifest: ManifestSettings
-    change_source: tuple[str, str] | None = None
+    change_source: tuple[str, str] | None = ("meta", "change_feed")
     max_hours: int = MAX_RUN_HOURS
     watermark_floor: datetime = WATERMARK_FLOOR
     history_floor: datetime = HISTORY_FLOOR
     max_attempts: int = MAX_ATTEMPTS
     retry_codes: tuple[int, ...] = RETRY_CODES
+    run_id: str | None = None

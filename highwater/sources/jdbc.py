@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 def read_jdbc(
     spark: SparkSession,
     url: str,
-    table_or_query: str,
     *,
+    table: str | None = None,
+    query: str | None = None,
     partition_column: str | None = None,
     lower_bound: object = None,
     upper_bound: object = None,
@@ -19,7 +20,7 @@ def read_jdbc(
     predicates: Sequence[str] | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A table or query of a database, read by many tasks if a way to split it is given.
+    """A ``table`` or a ``query`` of a database, read by many tasks if a way to split it is given.
 
     ``partition_column`` splits the range between the bounds into even strides; the bounds only
     place the strides, rows beyond them are read too. ``predicates`` gives one task per
@@ -28,8 +29,9 @@ def read_jdbc(
     without zone stay so, unless ``properties`` say otherwise.
     """
     properties = {"preferTimestampNTZ": "true", **(properties or {})}
-    query = table_or_query.strip().rstrip(";").rstrip()
-    source = f"({query}) q" if query.lower().startswith(("select", "with")) else query
+    if (table is None) == (query is None):
+        raise ValueError("give either table or query")
+    source = table if query is None else f"({query.strip().rstrip(';').rstrip()}) q"
     if predicates is not None:
         if partition_column is not None:
             raise ValueError("give either partition_column or predicates")

@@ -2,7 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from highwater.operators.control import next_control
-from highwater.sources.control_table import BUCKETS, ensure_control, read_control, upsert_control
+from highwater.sources.control_table import (
+    compact_control,
+    ensure_control,
+    read_control,
+    upsert_control,
+)
 from tests.conftest import rows, ts
 
 OLD, NEW, AS_OF = ts("2000-01-01"), ts("2001-01-01T00:00:00.000001"), ts("2001-06-01")
@@ -29,6 +34,7 @@ FEED = [
 
 def test_known_keys_move_unknown_ones_are_added(spark, make):
     assert move(spark, make, STORED, FEED) == [
+        ("s", "", None, AS_OF, AS_OF, NEW),  # a change that names no object
         ("s", "fresh", None, AS_OF, AS_OF, OLD),
         ("s", "quiet", "e", OLD, OLD, None),
         ("s", "x", None, OLD, AS_OF, NEW),
@@ -70,26 +76,62 @@ def test_upsert_replaces_only_the_given_keys(spark, make, tmp_path):
     )
 
 
-def files(path):
-    return {f: f.stat().st_mtime_ns for f in path.glob("key_bucket=*/*.parquet")}
-
-
-def test_upsert_touches_only_the_folders_of_its_keys(spark, make, tmp_path):
+def test_no_file_is_ever_replaced(spark, make, tmp_path):
     path = tmp_path / "control"
+    files = lambda: {f: f.stat().st_mtime_ns for f in path.glob("*/*.parquet")}
     ensure_control(spark, str(path))
-    many = [("s", f"t{i}", None, OLD, OLD, OLD) for i in range(500)]
-    upsert_control(make("control", many), str(path))
-    before = files(path)
-    assert len(before) == BUCKETS
+    upsert_control(make("control", [("s", f"t{i}", None, OLD, OLD, OLD) for i in range(500)]), str(path))
+    before = files()
     upsert_control(make("control", [("s", "t7", None, OLD, AS_OF, NEW)]), str(path))
-    after = files(path)
-    assert len(after) == BUCKETS and len(before.items() & after.items()) == BUCKETS - 1
+    after = files()
+    assert before.items() < after.items()
     upsert_control(make("control", []), str(path))
-    assert files(path) == after
+    assert files() == after
     stored = {r[1]: r[5] for r in rows(read_control(spark, str(path)))}
     assert len(stored) == 500 and stored["t7"] == NEW and stored["t8"] == OLD
 
 
+def test_rows_without_a_marker_are_not_seen(spark, make, tmp_path):
+    path = str(tmp_path / "control")
+    ensure_control(spark, path)
+    upsert_control(make("control", STORED), path)
+    lost = make("control", [("s", "x", None, OLD, AS_OF, NEW), ("s", "lost", None, OLD, AS_OF, NEW)])
+    lost.withColumn("commit_id", F.lit("lost")).write.mode("append").parquet(f"{path}/rows")
+    assert rows(read_control(spark, path)) == sorted(STORED, key=repr)
+
+
+def test_a_key_counts_once_also_when_null_or_repeated(spark, make, tmp_path):
+    path = str(tmp_path / "control")
+    ensure_control(spark, path)
+    for _ in range(2):
+        twice = [("s", None, None, OLD, OLD, OLD), ("s", "x", None, OLD, OLD, OLD), ("s", "x", None, OLD, AS_OF, NEW)]
+        upsert_control(make("control", twice), path)
+    assert rows(read_control(spark, path)) == sorted([twice[0], twice[2]], key=repr)
+
+
+def test_compaction_keeps_the_current_rows(spark, make, tmp_path):
+    path, to = str(tmp_path / "control"), str(tmp_path / "compact")
+    ensure_control(spark, path)
+    upsert_control(make("control", STORED), path)
+    upsert_control(make("control", [("s", "x", None, OLD, AS_OF, NEW)]), path)
+    compact_control(spark, path, to)
+    assert rows(read_control(spark, to)) == rows(read_control(spark, path))
+
+
+def test_whole_feed_reads_beyond_its_mark_and_never_goes_back(spark, make):
+    key = {"source": ("meta", "feed")}
+    stored = [("meta", "feed", None, OLD, OLD, NEW)]
+    assert move(spark, make, stored, [("a", "s", "x", OLD)], **key) == [("meta", "feed", None, OLD, AS_OF, NEW)]
+    later = move(spark, make, [("meta", "feed", None, OLD, OLD, OLD)], FEED, **key)
+    assert later == [("meta", "feed", None, OLD, AS_OF, NEW)]
+
+
+def test_cutoff_never_moves_a_mark_back(spark, make):
+    stored = [("s", "x", None, OLD, OLD, NEW)]
+    got = move(spark, make, stored, FEED, cutoff=ts("2000-06-01"))
+    assert ("s", "x", None, OLD, AS_OF, NEW) in got
+
+
 def test_upsert_may_read_the_table_it_writes(spark, make, tmp_path):
     path = str(tmp_path / "control")
     ensure_control(spark, path)
@@ -104,10 +146,10 @@ def test_catalog_table_follows_the_files(spark, make, tmp_path):
     listed = lambda: rows(spark.table("ops.control").select(*read_control(spark, path).columns))
     for _ in range(2):
         ensure_control(spark, path, "ops.control")
-    upsert_control(make("control", STORED), path, "ops.control")
+    upsert_control(make("control", STORED), path)
     assert listed() == sorted(STORED, key=repr)
-    spark.sql("DROP TABLE ops.control")
+    spark.sql("DROP VIEW ops.control")
     ensure_control(spark, path, "ops.control")
     assert listed() == sorted(STORED, key=repr)
-    spark.sql("DROP TABLE ops.control")
+    spark.sql("DROP VIEW ops.control")
     spark.sql("DROP SCHEMA ops")

@@ -18,7 +18,7 @@ SETTINGS = RefreshSettings(
     as_of=ts("2001-06-01"),
     manifest=ManifestSettings(job_id=1),
 )
-BY_SOURCE = SETTINGS
+BY_SOURCE = replace(SETTINGS, change_source=None)
 WHOLE_FEED = replace(SETTINGS, change_source=("meta", "feed"))
 
 
@@ -27,6 +27,7 @@ def world(spark, make, tmp_path):
     path = str(tmp_path / "control")
     ensure_control(spark, path)
     feed = [("New", "s", "x", OLD + DAY), ("stale", "s", "x", OLD), ("done", "s", "y", OLD), ("unready", "s", "z", OLD)]
+    feed.append(("New", "s", None, OLD + DAY))  # a change that names no object
     ready = [(e, "s", e != "unready", True, "MAIN", False, OLD + DAY) for e, *_ in feed]
     registry = [("STALE", "B1", "Y"), ("DONE", "B1", "Y")]
     log = [("STALE", OLD), ("DONE", OLD + 2 * DAY)]

@@ -48,17 +48,17 @@ NTZ = {"preferTimestampNTZ": "true"}
 
 
 def test_plain_table():
-    got = read_jdbc(Reader(), URL, "run_log", properties={"user": "u"})
+    got = read_jdbc(Reader(), URL, table="run_log", properties={"user": "u"})
     assert got == {"format": "jdbc", "options": {"url": URL, "dbtable": "run_log", **NTZ, "user": "u"}}
 
 
 def test_query_becomes_a_subquery():
-    assert read_jdbc(Reader(), URL, " SELECT 1 ; ")["options"]["dbtable"] == "(SELECT 1) q"
+    assert read_jdbc(Reader(), URL, query=" SELECT 1 ; ")["options"]["dbtable"] == "(SELECT 1) q"
 
 
 def test_partitioned_read():
     got = read_jdbc(
-        Reader(), URL, "run_log", partition_column="id", lower_bound=0, upper_bound=10, num_partitions=4
+        Reader(), URL, table="run_log", partition_column="id", lower_bound=0, upper_bound=10, num_partitions=4
     )
     assert got["options"] == {
         "url": URL,
@@ -72,18 +72,18 @@ def test_partitioned_read():
 
 
 def test_predicates():
-    got = read_jdbc(Reader(), URL, "run_log", predicates=["a = 1", "a <> 1 or a is null"])
+    got = read_jdbc(Reader(), URL, table="run_log", predicates=["a = 1", "a <> 1 or a is null"])
     assert got["predicates"] == ["a = 1", "a <> 1 or a is null"]
     assert got["properties"] == NTZ
 
 
 def test_properties_win_over_defaults():
-    got = read_jdbc(Reader(), URL, "run_log", properties={"preferTimestampNTZ": "false"})
+    got = read_jdbc(Reader(), URL, table="run_log", properties={"preferTimestampNTZ": "false"})
     assert got["options"]["preferTimestampNTZ"] == "false"
 
 
 def test_incomplete_or_double_split_is_refused():
     with pytest.raises(ValueError, match="lowerBound, upperBound"):
-        read_jdbc(Reader(), URL, "run_log", partition_column="id", num_partitions=4)
+        read_jdbc(Reader(), URL, table="run_log", partition_column="id", num_partitions=4)
     with pytest.raises(ValueError):
-        read_jdbc(Reader(), URL, "run_log", partition_column="id", predicates=["a = 1"])
+        read_jdbc(Reader(), URL, table="run_log", partition_column="id", predicates=["a = 1"])
