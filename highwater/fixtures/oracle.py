@@ -8,8 +8,9 @@ from __future__ import annotations
 
 CTES = {
     "change_feed": """
-        SELECT concat(CASE WHEN o_orderkey % 2 = 0 THEN 'Cust' ELSE 'cust' END,
-                      CAST(o_custkey AS VARCHAR)) AS entity_id,
+        SELECT CASE WHEN o_orderkey % 89 = 0 THEN NULL
+                    ELSE concat(CASE WHEN o_orderkey % 2 = 0 THEN 'Cust' ELSE 'cust' END,
+                                CAST(o_custkey AS VARCHAR)) END AS entity_id,
                concat('raw_', lower(l_linestatus)) AS schema_name,
                nullif(concat('t_', l_returnflag, CAST(l_linenumber AS VARCHAR)), 't_N1') AS object_name,
                l_shipdate AS updated
@@ -22,17 +23,23 @@ CTES = {
                CASE WHEN c_nationkey % 5 = 0 THEN 'OTHER' ELSE 'MAIN' END AS source,
                CASE WHEN (c_custkey + v.shift // 30) % 3 = 0 THEN NULL
                     ELSE (c_custkey + v.shift // 30) % 3 = 1 END AS migrated,
-               CAST(DATE '1995-01-01' + CAST((c_custkey * 37 + v.shift) % 2500 AS INTEGER) AS TIMESTAMP) AS updated
+               CAST(DATE '1995-01-01' + CAST((c_custkey * 37 + v.shift) % 2500 AS INTEGER) AS TIMESTAMP)
+                   + CASE WHEN c_custkey % 4 = 0 THEN INTERVAL '12:34:56.789' ELSE INTERVAL '0 days' END AS updated
         FROM customer,
              (VALUES ('raw_f'), ('raw_o')) s(schema_name),
              (VALUES ('Cust', 0), ('cust', 30), ('cust', 60)) v(prefix, shift)
         WHERE v.shift <> 60 OR c_custkey % 5 = 0""",
     "run_registry": """
-        SELECT concat('CUST', CAST(c_custkey AS VARCHAR)) AS entity_id, 'B1' AS batch_id,
-               CASE WHEN c_custkey % 11 = 0 THEN 'N' ELSE 'Y' END AS active_flag
-        FROM customer WHERE c_custkey % 7 <> 0""",
+        SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL
+                    ELSE concat('CUST', CAST(c_custkey AS VARCHAR)) END AS entity_id, batch_id,
+               CASE WHEN batch_id = 'B1' AND c_custkey % 11 = 0 THEN 'N'
+                    WHEN batch_id <> 'B1' AND c_custkey % 2 = 0 THEN 'N' ELSE 'Y' END AS active_flag
+        FROM customer, (VALUES ('B1'), ('B2'), ('B3')) b(batch_id)
+        WHERE (batch_id IN ('B1', 'B2') AND c_custkey % 7 <> 0 AND (batch_id = 'B1' OR c_custkey % 5 = 0))
+           OR (batch_id = 'B3' AND c_custkey % 3 = 0)""",
     "run_log": """
-        SELECT concat('CUST', CAST(o_custkey AS VARCHAR)) AS entity_id,
+        SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL
+                    ELSE concat('CUST', CAST(o_custkey AS VARCHAR)) END AS entity_id,
                CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'COMPLETED' ELSE 'STARTED' END AS batch_status,
                CASE WHEN o_orderpriority = '1-URGENT' THEN 'COMPLETED' ELSE 'RUNNING' END AS job_status,
                CASE WHEN o_orderpriority = '5-LOW' THEN 'OTHER' ELSE 'MAIN' END AS subject_area,
@@ -40,14 +47,19 @@ CTES = {
                CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END AS src_refresh_ts
         FROM orders""",
     "control": """
-        SELECT DISTINCT schema_name, object_name AS table_name, CAST(NULL AS VARCHAR) AS entity_id,
+        SELECT DISTINCT schema_name, object_name AS table_name,
+               CASE WHEN object_name = 't_N3' THEN 'cust1' END AS entity_id,
                TIMESTAMP '1999-01-01 00:00:00' AS created_timestamp,
                TIMESTAMP '1999-01-01 00:00:00' AS updated_timestamp,
                CASE WHEN object_name = 't_A1' THEN NULL
                     WHEN object_name = 't_N2' THEN TIMESTAMP '1997-03-04 05:06:07.25'
-                    ELSE TIMESTAMP '1999-01-01 00:00:00' END AS last_modified_datetime
+                    WHEN object_name = 'change_feed' THEN TIMESTAMP '1998-01-01 00:00:00'
+                    WHEN object_name = '' THEN TIMESTAMP '1999-01-01 00:00:00'
+                    ELSE TIMESTAMP '1999-01-01 00:00:00' - to_days(ascii(right(object_name, 1)) % 7)
+               END AS last_modified_datetime
         FROM (SELECT schema_name, coalesce(object_name, '') AS object_name FROM change_feed
-              UNION ALL SELECT 'raw_o', 't_quiet')
+              UNION ALL SELECT 'raw_o', 't_quiet'
+              UNION ALL SELECT 'meta', 'change_feed')
         WHERE object_name NOT LIKE 't!_R%' ESCAPE '!'""",
     "dispatch_attempts": """
         SELECT concat('CUST', CAST(user_id AS VARCHAR)) AS entity_id,
@@ -84,7 +96,8 @@ CTES = {
         FROM matched GROUP BY lower(entity_id), schema_name""",
     "in_flight": """
         SELECT DISTINCT lower(entity_id) AS entity_id FROM run_log
-        WHERE batch_status = 'STARTED' AND job_status <> 'COMPLETED' AND subject_area = 'MAIN'
+        WHERE entity_id IS NOT NULL
+          AND batch_status = 'STARTED' AND job_status <> 'COMPLETED' AND subject_area = 'MAIN'
           AND batch_start_ts + INTERVAL 2160 HOUR >= TIMESTAMP '2001-06-01 00:00:00'""",
     "last_refresh": """
         SELECT lower(entity_id) AS entity_id,
@@ -96,7 +109,7 @@ CTES = {
         GROUP BY lower(entity_id)""",
     "registry_refresh": """
         SELECT lower(r.entity_id) AS entity_id, l.last_refreshed_ts, r.active_flag
-        FROM (SELECT * FROM run_registry WHERE batch_id IN ('B1')) r
+        FROM (SELECT * FROM run_registry WHERE batch_id IN ('B1', 'B2') AND entity_id IS NOT NULL) r
         LEFT JOIN last_refresh l ON l.entity_id = lower(r.entity_id)""",
     "decisions": """
         SELECT c.*, l.last_refreshed_ts,
@@ -114,7 +127,7 @@ CTES = {
               FROM candidates x) k ON k.entity_id = c.entity_id AND k.schema_name = c.schema_name
         LEFT JOIN last_refresh l ON l.entity_id = c.entity_id AND k.registered""",
     "manifest": """
-        SELECT CASE WHEN decision = 'NEW' THEN 0 ELSE 1 END AS run_order,
+        SELECT 'run-1' AS run_id, CASE WHEN decision = 'NEW' THEN 0 ELSE 1 END AS run_order,
                entity_id, schema_name,
                CASE WHEN decision = 'NEW' THEN 'True' ELSE 'False' END AS new_entity_flag,
                CASE WHEN migrated = 'true' THEN 'True' ELSE 'False' END AS migrated,
@@ -173,14 +186,45 @@ _NEEDS = {
 }
 
 
-def _with(relation: str, select: str) -> str:
+# What a whole run does otherwise: its watermark is the stored one of the feed as a whole.
+_RUN = {
+    "changed": """
+        SELECT * FROM change_feed WHERE updated > coalesce(
+            (SELECT last_modified_datetime FROM control WHERE schema_name = 'meta' AND table_name = 'change_feed'),
+            TIMESTAMP '1990-01-01 00:00:00')""",
+}
+# Object lists as Python writes them; no name of the fixture has a character to escape.
+_PYTHON_LISTS = {
+    "manifest": CTES["manifest"].replace(
+        "CAST(to_json(objects) AS VARCHAR)",
+        "concat('[', array_to_string(list_transform(objects, lambda x: concat(chr(39), x, chr(39))), ', '), ']')",
+    )
+}
+_PAYLOAD = """
+        SELECT *, CAST(json_object('job_id', 42, 'notebook_params', json_object(
+                   'entity_id', entity_id, 'schema_name', schema_name, 'new_entity_flag', new_entity_flag,
+                   'migrated', migrated, 'object_list', object_list, 'updated', updated,
+                   'environment', environment, 'batch_id', batch_id, 'source_snapshot', source_snapshot,
+                   'debug_mode', debug_mode)) AS VARCHAR) AS payload
+        FROM manifest"""
+_WHOLE_FEED = """
+        SELECT schema_name, table_name, entity_id, created_timestamp,
+               CASE WHEN schema_name = 'meta' THEN TIMESTAMP '2001-06-01 00:00:00'
+                    ELSE updated_timestamp END AS updated_timestamp,
+               CASE WHEN schema_name = 'meta' THEN (SELECT max(updated) FROM change_feed)
+                    ELSE last_modified_datetime END AS last_modified_datetime
+        FROM control"""
+
+
+def _with(relation: str, select: str, **own: str) -> str:
+    """``select`` over what ``relation`` needs; ``own`` holds other definitions of some of it."""
     wanted: set[str] = set()
-    todo = [relation]
+    todo = [relation, *(["control"] if "changed" in own else [])]
     while todo:
         name = todo.pop()
         wanted.add(name)
         todo.extend(_NEEDS.get(name, []))
-    ctes = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items() if name in wanted)
+    ctes = ",\n".join(f"{name} AS ({body})" for name, body in {**CTES, **own}.items() if name in wanted)
     return f"WITH {ctes}\n{select}"
 
 
@@ -239,16 +283,12 @@ def oracle_sql() -> dict[str, str]:
         "refresh_decision": _with(
             "decisions", f"SELECT {_CANDIDATE_COLUMNS}, last_refreshed_ts, decision FROM decisions"
         ),
-        "run_manifest": _with(
-            "manifest",
-            """
-        SELECT *, CAST(json_object('job_id', 42, 'notebook_params', json_object(
-                   'entity_id', entity_id, 'schema_name', schema_name, 'new_entity_flag', new_entity_flag,
-                   'migrated', migrated, 'object_list', object_list, 'updated', updated,
-                   'environment', environment, 'batch_id', batch_id, 'source_snapshot', source_snapshot,
-                   'debug_mode', debug_mode)) AS VARCHAR) AS payload
-        FROM manifest""",
+        "run_manifest": _with("manifest", _PAYLOAD),
+        "run_manifest_python": _with("manifest", _PAYLOAD, **_PYTHON_LISTS),
+        "refresh_run_decisions": _with(
+            "decisions", f"SELECT {_CANDIDATE_COLUMNS}, last_refreshed_ts, decision FROM decisions", **_RUN
         ),
+        "refresh_run_control": _with("control", _WHOLE_FEED),
         "manifest_summary": _with(
             "decision_totals",
             """
@@ -262,14 +302,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS n, coalesce(bool_and(outcome = 'ACCEPTED'), FALSE) AS may_commit FROM outcomes",
         ),
         "next_watermark": _with("moved_control", "SELECT * FROM moved_control"),
-        "next_watermark_whole_feed": _with(
-            "control",
-            """
-        SELECT * FROM control
-        UNION ALL
-        SELECT 'meta', 'change_feed', NULL, TIMESTAMP '2001-06-01 00:00:00', TIMESTAMP '2001-06-01 00:00:00',
-               max(updated) FROM change_feed""",
-        ),
+        "next_watermark_whole_feed": _with("control", _WHOLE_FEED),
         "next_watermark_held": _with("control", "SELECT * FROM control"),
         "control_upsert": _with("moved_control", "SELECT * FROM moved_control"),
     }

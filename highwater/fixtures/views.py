@@ -15,10 +15,13 @@ from highwater.settings import ManifestSettings, RefreshSettings
 
 WATERMARK = datetime(1999, 1, 1)
 EARLIER = datetime(1997, 3, 4, 5, 6, 7, 250000)
+FEED_MARK = datetime(1998, 1, 1)  # the stored mark of the feed as a whole
+RUN_ID = "run-1"
 SETTINGS = RefreshSettings(
     source="MAIN",
     subject_area="MAIN",
-    batch_ids=("B1",),
+    batch_ids=("B1", "B2"),
+    run_id=RUN_ID,
     as_of=datetime(2001, 6, 1),
     max_hours=2160,
     manifest=ManifestSettings(
@@ -52,7 +55,7 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     prefix = F.when(F.col("o_orderkey") % 2 == 0, "Cust").otherwise("cust")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.concat(prefix, F.col("o_custkey").cast("string")).alias("entity_id"),
+        F.when(F.col("o_orderkey") % 89 != 0, F.concat(prefix, F.col("o_custkey").cast("string"))).alias("entity_id"),
         F.concat(F.lit("raw_"), F.lower("l_linestatus")).alias("schema_name"),
         F.nullif(
             F.concat(F.lit("t_"), "l_returnflag", F.col("l_linenumber").cast("string")), F.lit("t_N1")
@@ -65,6 +68,10 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two schemas and two or three rows in different case forms per entity."""
     variants = [("Cust", 0), ("cust", 30), ("cust", 60)]
     step = F.col("c_custkey") + (F.col("v.shift") / 30).cast("bigint")
+    day = F.date_add(
+        F.lit("1995-01-01").cast("date"), ((F.col("c_custkey") * 37 + F.col("v.shift")) % 2500).cast("int")
+    ).cast(NTZ)
+    time = F.make_dt_interval(hours=F.lit(12), mins=F.lit(34), secs=F.lit("56.789").cast("decimal(18,6)"))
     return (
         table(spark, sf_dir, "customer")
         .withColumn("schema_name", F.explode(F.array(F.lit("raw_f"), F.lit("raw_o"))))
@@ -86,24 +93,26 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("c_mktsegment") != "FURNITURE").alias("data_available"),
             F.when(F.col("c_nationkey") % 5 == 0, "OTHER").otherwise("MAIN").alias("source"),
             F.when(step % 3 == 0, None).otherwise(step % 3 == 1).alias("migrated"),
-            F.date_add(
-                F.lit("1995-01-01").cast("date"),
-                ((F.col("c_custkey") * 37 + F.col("v.shift")) % 2500).cast("int"),
-            )
-            .cast(NTZ)
-            .alias("updated"),
+            F.when(F.col("c_custkey") % 4 == 0, day + time).otherwise(day).alias("updated"),
         )
     )
 
 
 def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch B1 holds most entities, B2 some of them again with other flags, B3 belongs to another run."""
+    key = F.col("c_custkey")
+    batch = F.explode(F.array(F.lit("B1"), F.lit("B2"), F.lit("B3")))
+    first, again = F.col("batch_id") == "B1", F.col("batch_id") == "B2"
+    held = F.when(first, key % 7 != 0).when(again, (key % 7 != 0) & (key % 5 == 0)).otherwise(key % 3 == 0)
+    off = F.when(first, key % 11 == 0).otherwise(key % 2 == 0)
     return (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_custkey") % 7 != 0)
+        .withColumn("batch_id", batch)
+        .where(held)
         .select(
-            F.concat(F.lit("CUST"), F.col("c_custkey").cast("string")).alias("entity_id"),
-            F.lit("B1").alias("batch_id"),
-            F.when(F.col("c_custkey") % 11 == 0, "N").otherwise("Y").alias("active_flag"),
+            F.when(key % 97 != 0, F.concat(F.lit("CUST"), key.cast("string"))).alias("entity_id"),
+            "batch_id",
+            F.when(off, "N").otherwise("Y").alias("active_flag"),
         )
     )
 
@@ -112,7 +121,9 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     ordered = F.col("o_orderdate").cast(NTZ)
     return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("CUST"), F.col("o_custkey").cast("string")).alias("entity_id"),
+        F.when(
+            F.col("o_orderkey") % 97 != 0, F.concat(F.lit("CUST"), F.col("o_custkey").cast("string"))
+        ).alias("entity_id"),
         F.when(status == "F", "FAILED").when(status == "O", "COMPLETED").otherwise("STARTED").alias("batch_status"),
         F.when(priority == "1-URGENT", "COMPLETED").otherwise("RUNNING").alias("job_status"),
         F.when(priority == "5-LOW", "OTHER").otherwise("MAIN").alias("subject_area"),
@@ -136,23 +147,27 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some sources have a stored watermark (of two dates), some a null one, some no row.
+    """Sources with a stored watermark (of several dates), with a null one, and without a row.
 
-    One stored key has no change in the feed.
+    One stored key has no change in the feed, and one is that of the feed as a whole.
     """
-    stamp = ntz(WATERMARK)
-    quiet = spark.createDataFrame([("raw_o", "t_quiet")], "schema_name string, object_name string")
+    stamp, name = ntz(WATERMARK), F.col("object_name")
+    days = (F.ascii(F.right(name, F.lit(1))) % 7).cast("int")
+    quiet = spark.createDataFrame(
+        [("raw_o", "t_quiet"), SETTINGS.change_source], "schema_name string, object_name string"
+    )
     return (
         sources(spark, sf_dir)
         .where(~F.col("object_name").startswith("t_R"))
         .unionByName(quiet)
         .select(
             *[F.col(s).alias(c) for s, c in zip(SOURCE_KEY, CONTROL_KEY)],
-            F.lit(None).cast("string").alias("entity_id"),
+            F.when(name == "t_N3", "cust1").alias("entity_id"),
             stamp.alias("created_timestamp"),
             stamp.alias("updated_timestamp"),
-            F.when(F.col("object_name") == "t_N2", ntz(EARLIER))
-            .when(F.col("object_name") != "t_A1", stamp)
+            F.when(name == "t_N2", ntz(EARLIER))
+            .when(name == SETTINGS.change_source[1], ntz(FEED_MARK))
+            .when(name != "t_A1", stamp - F.make_dt_interval(days=days))
             .alias("last_modified_datetime"),
         )
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,21 @@ from highwater.settings import ManifestSettings
 IDS_PER_LINE = 1000
 
 
-def manifest(decisions: DataFrame, settings: ManifestSettings) -> DataFrame:
+def _no_clash(what: str, names: list[str]) -> None:
+    """Spark does not tell upper from lower case in a name."""
+    seen = Counter(name.lower() for name in names)
+    twice = sorted(name for name, n in seen.items() if n > 1)
+    if twice:
+        raise ValueError(f"{what} named twice: {twice}")
+
+
+def manifest(
+    decisions: DataFrame, settings: ManifestSettings, run_id: str | None = None
+) -> DataFrame:
     """One record per entity and schema to run, with the JSON payload to send.
 
-    ``run_order`` is 0 for new entities and 1 for refreshed ones, which come after them.
+    ``run_order`` is 0 for new entities and 1 for refreshed ones, which come after them. ``run_id``
+    stands beside the payload and says which run made the record.
     """
     is_new = F.col("decision") == NEW
     computed = {
@@ -27,17 +40,19 @@ def manifest(decisions: DataFrame, settings: ManifestSettings) -> DataFrame:
         "object_list": list_text(F.col("object_list"), settings.list_style),
         "updated": iso_text(F.col("updated")),
     }
-    clash = computed.keys() & settings.constants.keys()
-    if clash:
-        raise ValueError(f"constants hide computed parameters: {sorted(clash)}")
     constants = {name: F.lit(value).cast("string") for name, value in settings.constants.items()}
+    sent = [settings.names.get(name, name) for name in computed]
+    _no_clash("columns", ["run_order", "run_id", "payload", *computed, *constants])
+    _no_clash("parameters", [*sent, *constants])
     records = decisions.where(F.col("decision").isin(NEW, REFRESH)).select(
+        F.lit(run_id).cast("string").alias("run_id"),
         F.when(is_new, 0).otherwise(1).alias("run_order"),
-        *[c.alias(name) for name, c in {**computed, **constants}.items()],
+        *[c.alias(name) for name, c in computed.items()],
+        *[c.alias(name) for name, c in constants.items()],
     )
     params = F.struct(
-        *[F.col(name).alias(settings.names.get(name, name)) for name in computed],
-        *[F.col(name) for name in constants],
+        *[F.col(f"`{name}`").alias(as_name) for name, as_name in zip(computed, sent)],
+        *[F.col(f"`{name}`").alias(name) for name in constants],
     )
     payload = F.struct(F.lit(settings.job_id).alias("job_id"), params.alias("notebook_params"))
     return records.withColumn("payload", F.to_json(payload, {"ignoreNullFields": "false"}))

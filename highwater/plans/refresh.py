@@ -16,7 +16,7 @@ from highwater.operators.decision import decide
 from highwater.operators.history import registry_status, run_history
 from highwater.operators.manifest import manifest, summary
 from highwater.operators.outcomes import may_commit, outcomes
-from highwater.operators.watermark import read_watermarks, stored_watermark
+from highwater.operators.watermark import changed_since, read_watermarks, stored_watermark
 from highwater.settings import RefreshSettings
 from highwater.sources.control_table import upsert_control
 
@@ -36,11 +36,16 @@ class RefreshInputs:
 
 @dataclass(frozen=True)
 class RefreshPlan:
-    """What a run decided. ``decisions`` is read back from files, so all parts agree."""
+    """What a run decided. ``decisions`` is read back from files, so all parts agree.
+
+    ``read_to`` is the newest change there was when the run began (the floor if there was none). As the
+    ``cutoff`` of ``settle`` it keeps changes that came in later for the next run.
+    """
 
     decisions: DataFrame
     manifest: DataFrame
     summary: DataFrame
+    read_to: datetime
 
 
 def watermark(inputs: RefreshInputs, settings: RefreshSettings) -> Column | DataFrame:
@@ -105,11 +110,26 @@ def judge(found: DataFrame, inputs: RefreshInputs, settings: RefreshSettings) ->
     return decide(found, *known(inputs, settings, only=found))
 
 
+def newest_change(
+    inputs: RefreshInputs, settings: RefreshSettings, since: datetime | str | Column | DataFrame
+) -> datetime:
+    """The newest change beyond the watermark, the floor without any. Reads one column of the feed.
+
+    Every source's mark is at the floor or beyond, so a frame of marks need not be joined for it.
+    """
+    beyond = settings.watermark_floor if isinstance(since, DataFrame) else since
+    newest = changed_since(inputs.change_feed, beyond).agg(F.max("updated")).first()[0]
+    return newest or settings.watermark_floor
+
+
 def plan_refresh(inputs: RefreshInputs, settings: RefreshSettings) -> RefreshPlan:
     """Find and decide once, each written to the shared folder; derive manifest and report."""
-    found = materialise(find(inputs, settings, watermark(inputs, settings)), "candidates")
+    since = watermark(inputs, settings)
+    read_to = newest_change(inputs, settings, since)  # before the candidates: what comes in between is seen twice
+    found = materialise(find(inputs, settings, since), "candidates")
     decided = materialise(judge(found, inputs, settings), "decisions")
-    return RefreshPlan(decided, manifest(decided, settings.manifest), summary(decided))
+    records = manifest(decided, settings.manifest, settings.run_id)
+    return RefreshPlan(decided, records, summary(decided), read_to)
 
 
 def settle(
@@ -123,7 +143,8 @@ def settle(
     """The control rows after the attempts; unchanged unless every manifest record was accepted.
 
     Whether they were is read first (one boolean), so a run that failed does not read the feed again.
-    ``attempts`` has one row per attempt with the record's entity and schema.
+    ``attempts`` has one row per attempt with the record's entity and schema. Pass ``plan.read_to`` as
+    ``cutoff`` to leave what came in during the run to the next one.
     """
     ended = outcomes(attempts, settings.max_attempts, settings.retry_codes, keys=RECORD_KEY)
     return next_control(

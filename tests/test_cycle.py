@@ -104,6 +104,26 @@ def test_rows_passed_over_are_seen_again_only_with_a_cutoff(spark, world):
     assert [r[5] for r in moved] == [OLD + DAY]
 
 
+def test_a_run_knows_what_it_has_read(spark, world):
+    path, inputs = world
+    for settings in (WHOLE_FEED, BY_SOURCE):
+        plan = plan_refresh(inputs(), settings)
+        assert plan.read_to == OLD + DAY
+    arrived = inputs([("done", "s", "x", OLD + 5 * DAY)])
+    attempts = dispatched(spark, [("new", 200), ("stale", 200)])
+    commit(settle(plan, attempts, arrived, WHOLE_FEED, cutoff=plan.read_to), WHOLE_FEED, path)
+    arrived = replace(arrived, control=read_control(spark, path))
+    assert labels(plan_refresh(arrived, WHOLE_FEED)) == {"done": "UP_TO_DATE"}
+    nothing = replace(inputs(), change_feed=inputs().change_feed.limit(0))
+    assert plan_refresh(nothing, WHOLE_FEED).read_to == WHOLE_FEED.watermark_floor
+
+
+def test_the_run_names_its_records(spark, world):
+    _, inputs = world
+    plan = plan_refresh(inputs(), replace(WHOLE_FEED, run_id="r1"))
+    assert {r.run_id for r in plan.manifest.collect()} == {"r1"}
+
+
 def test_decisions_are_read_back_from_the_shared_folder(spark, world):
     _, inputs = world
     plan = plan_refresh(inputs(), WHOLE_FEED)

@@ -55,9 +55,28 @@ def test_payload(spark):
     assert (got.entity_id, got.environment, got.workers) == ("a", "stg", None)
 
 
-def test_constants_do_not_hide_computed_parameters(spark):
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {"constants": {"updated": "x"}},
+        {"constants": {"Updated": "x"}},
+        {"constants": {"payload": "x"}},
+        {"constants": {"run_order": "x"}},
+        {"constants": {"run_id": "x"}},
+        {"constants": {"environment": "x"}, "names": {"entity_id": "environment"}},
+        {"names": {"entity_id": "schema_name"}},
+    ],
+)
+def test_no_name_is_used_twice(spark, settings):
     with pytest.raises(ValueError):
-        manifest(decided(spark, record("a", "NEW")), ManifestSettings(job_id=7, constants={"updated": "x"}))
+        manifest(decided(spark, record("a", "NEW")), ManifestSettings(job_id=7, **settings))
+
+
+def test_two_parameters_may_swap_their_names(spark):
+    names = {"entity_id": "schema_name", "schema_name": "entity_id"}
+    got = manifest(decided(spark, record("a", "NEW")), ManifestSettings(job_id=7, names=names), "run-7").first()
+    sent = json.loads(got.payload)["notebook_params"]
+    assert (sent["schema_name"], sent["entity_id"], got.run_id) == ("a", "s", "run-7")
 
 
 @pytest.mark.parametrize(
@@ -85,6 +104,7 @@ def test_iso_text_does_not_move_a_time_that_the_session_zone_skips(spark):
 
 def test_list_text_reads_back_in_both_styles(spark):
     items = ["", "t_A1", "it's", 'say "x"', "'\"", "back\\slash", "tab\tline\n"]
+    items += ["\x00\x1b\x7f", "a\xa0b", "\u200b'", "\u2028\\", "\U000e0001", "é ü 漢 😀"]
     df = spark.createDataFrame([(items,)], "items array<string>")
     as_json, as_python = df.select(list_text(F.col("items")), list_text(F.col("items"), "python")).first()
     assert json.loads(as_json) == items
