@@ -32,6 +32,7 @@ SAMPLE_BYTES = 12_000_000
 ORDER = 6
 DISCOUNT = 0.75
 THRESHOLD = 0.3
+PART = 20_000  # expressions that are taken apart at once
 LONGEST = 48  # characters of an expression that are looked at, from its start
 
 
@@ -75,18 +76,36 @@ def _hashes(spelled: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np
     return rows, context, gram
 
 
+def _distinct(key: np.ndarray, context: np.ndarray, gram: np.ndarray, weight: np.ndarray) -> tuple:
+    """One row per key, its weights summed."""
+    key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    sums = [np.bincount(inverse, weight[:, k], len(key)) for k in range(weight.shape[1])]
+    return key, context[first], gram[first], np.stack(sums, axis=1)
+
+
+def _ngrams(spelled: np.ndarray, counts: np.ndarray, order: int) -> tuple:
+    """Context, n-gram and counts of ``order``, worked out for PART expressions after the other.
+
+    Below the longest order these are continuation counts: one for every distinct longer n-gram.
+    """
+    found = []
+    for k in range(0, max(len(spelled), 1), PART):
+        part = spelled[k : k + PART]
+        rows, context, gram = _hashes(part, order)
+        if order == ORDER:
+            found.append(_distinct(gram, context, gram, counts[k : k + PART][rows].astype(float)))
+        else:
+            longer = _hashes(part, order + 1)[2]
+            found.append(_distinct(longer, context, gram, np.ones((len(gram), 1))))
+    _, context, gram, weight = _distinct(*[np.concatenate(x) for x in zip(*found)])
+    return context, gram, weight if order == ORDER else np.ones_like(weight)
+
+
 def learn(spelled: np.ndarray, counts: np.ndarray) -> Model:
     """From distinct expressions and their counts in ordinary and toxic documents (n, 2)."""
     grams = []
     for order in range(ORDER, 0, -1):
-        rows, context, gram = _hashes(spelled, order)
-        if order == ORDER:
-            weight = counts[rows].astype(float)
-        else:  # continuation counts: distinct longer n-grams that end in this one
-            _, _, longer = _hashes(spelled, order + 1)
-            _, first = np.unique(longer, return_index=True)
-            context, gram = context[first], gram[first]
-            weight = np.ones((len(gram), 1))
+        context, gram, weight = _ngrams(spelled, counts, order)
         names, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
         of = context[first]
         contexts, back = np.unique(of, return_inverse=True)
