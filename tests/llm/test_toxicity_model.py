@@ -1,0 +1,30 @@
+"""The character models of toxicity, without Spark."""
+
+import numpy as np
+import pytest
+
+from highwater.llm import toxicity
+
+
+def learnt(texts, counts):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    lengths = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    return toxicity.learn(toxicity._spell(data, starts, lengths), np.array(counts, float).reshape(-1, 2))
+
+
+@pytest.mark.parametrize("part", [1, 7])
+def test_learning_in_parts_gives_the_same_model(monkeypatch, part):
+    rng = np.random.default_rng(3)
+    texts = sorted({"".join(rng.choice(list("abc"), rng.integers(1, 9))) for _ in range(60)})
+    counts = rng.integers(0, 4, (len(texts), 2))
+    whole = learnt(texts, counts)
+    monkeypatch.setattr(toxicity, "PART", part)
+    for one, other in zip(whole.grams, learnt(texts, counts).grams, strict=True):
+        assert [i.keys.tolist() for i in one[:2]] == [i.keys.tolist() for i in other[:2]]
+        for a, b in zip(one[2:], other[2:], strict=True):
+            assert a.tolist() == b.tolist()
+
+
+def test_no_expressions_give_a_model():
+    assert len(learnt([], []).grams) == toxicity.ORDER
