@@ -1,6 +1,7 @@
 """Operator 8: toxicity by class-conditional Kneser-Ney models.
 
-An expression is a word, spelled in characters. For each class, toxic and ordinary, a Kneser-Ney model
+An expression is a word, spelled in characters; a very long one (a text without spaces) is taken in
+pieces. For each class, toxic and ordinary, a Kneser-Ney model
 gives the probability of the next character after up to ORDER - 1 others; the longest context uses the
 counts of the class, and all shorter ones the continuation counts of both classes together, so that a
 rare or unseen expression is judged by what both share. Both log-likelihoods of every expression are
@@ -8,7 +9,7 @@ normalised by its length and compared. A document's features are its strongest e
 mean over all of them; a logistic curve fitted on other labelled documents makes them a score.
 
 The models are learnt from a bounded sample of labelled documents (SAMPLE per class, in the order of a
-hash, and at most SAMPLE_BYTES of them); scoring covers every whole text.
+hash, none of more than LARGEST bytes and at most SAMPLE_BYTES together); scoring covers every whole text.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from highwater.functions.lineage import materialise
 from highwater.llm.common import ship
 from highwater.llm.words import Index, Words, chunks, mix, words
 
@@ -29,11 +31,12 @@ HELD_OUT = 2
 FIT = 3  # the fold whose labels fit the curve; the models count the others
 SAMPLE = 1500
 SAMPLE_BYTES = 12_000_000
+LARGEST = 750_000  # so that no single document takes up the sample
 ORDER = 6
 DISCOUNT = 0.75
 THRESHOLD = 0.3
 PART = 20_000  # expressions that are taken apart at once
-LONGEST = 48  # characters of an expression that are looked at, from its start
+LONGEST = 48  # bytes of an expression; a longer word is several
 
 
 @dataclass
@@ -47,7 +50,6 @@ class Model:
 
 def _spell(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Expressions as rows of bytes: 1 before, 2 after, 0 beyond."""
-    lengths = np.minimum(lengths, LONGEST)
     wide = int(lengths.max(initial=0)) + 2
     out = np.zeros((len(starts), wide), np.uint8)
     out[:, 0] = 1
@@ -225,11 +227,17 @@ def _sample(labelled: DataFrame, limit: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """Texts of the sample's documents up to SAMPLE_BYTES, in the order of their hash."""
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by the sample
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
-    held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(order)
-    return picked.withColumn("held", held).where(F.col("held") <= SAMPLE_BYTES).drop("held")
+    """Texts of the sample's documents up to SAMPLE_BYTES, in the order of their hash.
+
+    A document whose rows together have more than LARGEST bytes is passed over.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    picked = docs.select("doc_id", "text").where(size <= LARGEST)
+    picked = materialise(picked.join(F.broadcast(sample), "doc_id"), "sample")  # bounded by the sample
+    sizes = picked.groupBy("doc_id").agg(F.sum(size).alias("size")).where(F.col("size") <= LARGEST)
+    held = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # a row per sampled label
+    within = sizes.withColumn("held", held).where(F.col("held") <= SAMPLE_BYTES).select("doc_id")
+    return picked.join(F.broadcast(within), "doc_id")
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
@@ -240,13 +248,14 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     sample = _sample(labels.where(F.col("fold") != FIT), limit).unionByName(
         _sample(labels.where(F.col("fold") == FIT), limit // 2)
     )
-    rows = _texts(docs, sample).select("fold", "toxic", "text").toArrow().combine_chunks().to_batches()
+    found = _texts(docs, sample).select("doc_id", "fold", "toxic", "text").toArrow()
+    rows = found.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks().to_batches()
     model = learn(*_expressions(rows))
     memo, x, y = Memo(), [np.empty((0, 4))], [np.empty(0)]
     for batch in rows:
         batch = batch.filter(pc.equal(batch["fold"], FIT))
         for part, texts in chunks(batch):
-            x.append(features(model, words(texts), memo))
+            x.append(features(model, words(texts, LONGEST), memo))
             y.append(part["toxic"].to_numpy(zero_copy_only=False).astype(float))
     fit(model, np.concatenate(x), np.concatenate(y))
     return model
@@ -258,7 +267,7 @@ def _expressions(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     for batch in rows:
         batch = batch.filter(pc.not_equal(batch["fold"], FIT))
         for part, texts in chunks(batch):
-            found = words(texts)
+            found = words(texts, LONGEST)
             toxic = part["toxic"].to_numpy(zero_copy_only=False).astype(float)[found.owner]
             h, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
             wide = np.zeros((len(h), LONGEST + 2), np.uint8)
@@ -281,7 +290,7 @@ def _scores(model):
         learnt, memo = model.value, Memo()
         for batch in batches:
             for part, texts in chunks(batch):
-                found = score(learnt, features(learnt, words(texts), memo))
+                found = score(learnt, features(learnt, words(texts, LONGEST), memo))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], [*part.schema.names[:-1], "score"])
 
     return run

@@ -75,7 +75,23 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def words(texts: pa.Array) -> Words:
+def _cut(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of more than ``longest`` bytes in pieces of at most as many, cut between characters."""
+    step = longest - 3  # a character has up to four bytes
+    lengths = ends - starts
+    parts = np.where(lengths > longest, -(-lengths // step), 1)
+    number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    pieces = np.repeat(starts, parts) + number * step
+    for _ in range(3):
+        pieces -= (number > 0) & ((low[pieces] & 0xC0) == 0x80)
+    until = np.append(pieces[1:], 0)
+    last = np.cumsum(parts) - 1
+    until[last] = ends
+    return pieces, until
+
+
+def words(texts: pa.Array, longest: int | None = None) -> Words:
+    """The words of ``texts``; with ``longest``, those of more bytes in pieces of at most as many."""
     data, bounds = text_bytes(texts)
     n = len(data)
     if n == 0:
@@ -96,6 +112,8 @@ def words(texts: pa.Array) -> Words:
     filled = ~space
     starts = np.flatnonzero(filled & before)
     ends = np.flatnonzero(filled & after) + 1
+    if longest and len(starts) and (ends - starts).max() > longest:
+        starts, ends = _cut(low, starts, ends, longest)
     size = 1 << 18
     while size < n:
         size *= 2

@@ -1,9 +1,11 @@
 """The character models of toxicity, without Spark."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from highwater.llm import toxicity
+from highwater.llm.words import words
 
 
 def learnt(texts, counts):
@@ -28,3 +30,16 @@ def test_learning_in_parts_gives_the_same_model(monkeypatch, part):
 
 def test_no_expressions_give_a_model():
     assert len(learnt([], []).grams) == toxicity.ORDER
+
+
+def test_long_words_are_read_to_their_end():
+    texts = ["ab " + "x" * 500 + " cd", "ü" * 100, "", "y" * 48, "日本" * 60 + " z"]
+    found = words(pa.array(texts), toxicity.LONGEST)
+    lengths = found.ends - found.starts
+    assert lengths.max() <= toxicity.LONGEST
+    pieces = [bytes(found.data[a:b]).decode() for a, b in zip(found.starts, found.ends, strict=True)]
+    for i, text in enumerate(texts):
+        assert "".join(pieces[found.first[i] : found.first[i + 1]]) == text.replace(" ", "")
+    assert pieces[0] == "ab" and pieces.count("y" * 48) == 1
+    again = words(pa.array(pieces))
+    assert again.hashes.tolist() == found.hashes.tolist()
