@@ -8,11 +8,16 @@ Every bit is predicted by several tables of counts, looked up by a hash of the b
 a context: nothing, the last guide word (one of the commonest, which tells the language), the group of the
 token before, and both. The predictions are stretched, weighted (the weights are gated by depth and trained
 online, batch after batch) and squashed; a last table, by the mixed prediction and the guide word, refines
-the result adaptively. The sum over all bits is the text's total, also given in bits per byte.
+the result adaptively. The sum over all bits of a token is its prediction by the tables.
 
-Counts come from all training documents. The vocabulary grows with the corpus and is joined, never
-broadcast; what is broadcast (COMMON words, the tables) has a fixed size. The weights and the refinement are
-trained on the counts of a tenth of the training documents, with tables that have not seen them.
+This is then mixed with two predictors that grow with the corpus: how often the token followed the one token
+before it, and the two before it, counted for all such pairs and triples without a limit (keys are 64-bit hashes).
+The share of each is a gate by how often its context was seen. A training text is scored without its own
+pairs and triples. The sum over all tokens is the text's total, also given in bits per byte.
+
+Counts come from all training documents. The vocabulary, pairs and triples grow with the corpus and are joined,
+never broadcast; what is broadcast (COMMON words, the tables) has a fixed size. The weights, the refinement and the
+gates are trained on a tenth of the training documents, with tables, pairs and triples that have not seen them.
 """
 
 from __future__ import annotations
@@ -44,6 +49,9 @@ PRIOR = 2.0
 SMOOTH = 0.1
 END = np.uint64(0x0E4D0F7E3A5B9C11)  # stands for the end of a text
 FLUSH = 2_000_000
+START = np.uint64(0x3C6EF372FE94F82B)  # stands before a text
+LEVELS = 32  # gates of pairs and of triples, by the logarithm of the context's count
+BINS = 128
 
 
 def shapes(found: Words) -> np.ndarray:
@@ -367,17 +375,100 @@ def train(code: Code, observed: DataFrame) -> Mixer:
     return mixer
 
 
-def _sum(owner, rows, values):
-    return np.bincount(owner, values, minlength=rows)
+def _tokens(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner and hash of every token, ends included, and whether it is the first of its text."""
+    n = len(found.hashes) + found.rows
+    is_end = np.zeros(n, bool)
+    is_end[found.first[1:] + np.arange(found.rows)] = True
+    hashes = np.full(n, END)
+    hashes[~is_end] = found.hashes
+    start = np.ones(n, bool)
+    start[1:] = is_end[:-1]
+    return np.repeat(np.arange(found.rows), found.counts + 1), hashes, start
+
+
+def _grams(hashes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each token with the one, and with the two tokens before it."""
+
+    def back(x):
+        return np.where(start, START, np.concatenate([[START], x[:-1]]))
+
+    before = back(hashes)
+    second = back(before)
+    pair = mix(mix(before + np.uint64(1)) + hashes)
+    return pair, mix(mix(mix(second + np.uint64(2)) + before) + hashes)
+
+
+def _count_grams(batches):
+    """(h, c): counts of pairs and triples, summed as far as a task holds them."""
+    held, rows = [], 0
+
+    def out():
+        h, c = (np.concatenate(x) for x in zip(*held, strict=True))
+        names, inverse = np.unique(h, return_inverse=True)
+        c = np.bincount(inverse, c).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(c)], ["h", "c"])
+
+    for batch in batches:
+        for _, texts in chunks(batch):
+            _, hashes, start = _tokens(words(texts))
+            held.append(np.unique(np.concatenate(_grams(hashes, start)), return_counts=True))
+            rows += len(held[-1][0])
+            if rows > FLUSH:
+                yield out()
+                held, rows = [], 0
+    if held:
+        yield out()
+
+
+def _per_text(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of each text, in order: the places of one of each, how often it is there, and the
+    number of each of ``h`` among them."""
+    order = np.lexsort((h, owner))
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    number = np.empty(len(h), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    firsts = np.flatnonzero(fresh)
+    return order[firsts], np.diff(np.append(firsts, len(h))), number
+
+
+@dataclass
+class Asked:
+    """What the texts of a chunk ask for: their words that are not common, pairs and triples, each once a text."""
+
+    owner: np.ndarray  # of what is asked
+    place: np.ndarray  # among those of its text
+    h: np.ndarray
+    own: np.ndarray  # how often a training text adds to the count itself; 0 for words
+    offsets: np.ndarray  # of each text's
+    word: np.ndarray  # numbers of the words that are not common, and of every token's pair and triple
+    pair: np.ndarray
+    triple: np.ndarray
+
+
+def _asked(rare, owner, hashes, start, trained) -> Asked:
+    pair, triple = _grams(hashes, start)
+    h = np.concatenate([hashes[rare], pair, triple])
+    owners = np.concatenate([owner[rare], owner, owner])
+    one, times, number = _per_text(owners, h)
+    k, n = int(rare.sum()), len(hashes)
+    of = owners[one]
+    offsets = np.searchsorted(of, np.arange(len(trained) + 1))
+    own = np.where((one >= k) & trained[of], times, 0)
+    return Asked(of, np.arange(len(of)) - offsets[of], h[one], own, offsets, number[:k], number[k : k + n], number[k + n :])
+
+
+def _trained(part) -> np.ndarray:
+    return part["fold"].to_numpy(zero_copy_only=False) != 0
 
 
-def _score(model):
-    """Per text the parts that a task knows, and its words that are not common."""
+def _predict(model):
+    """Per text the logarithm of every token's prediction by the tables, without the word's share of its class."""
 
     def run(batches):
         mixer = model.value
         code = mixer.code
-        base_of = np.log10(code.count + SMOOTH)
         for batch in batches:
             for part, texts in chunks(batch):
                 found = words(texts)
@@ -385,39 +476,128 @@ def _score(model):
                 key, inverse = np.unique(_key(e, 0), return_inverse=True)
                 classes, guide, group, run_, repeats, _ = _split(key)
                 gain = mixer.log10(classes, guide, group, run_, repeats)[inverse]
-                shared = (e.classes >= SINGLES) & ~e.repeats  # words that need their share of a class
-                gain -= np.where(shared, code.log_class[e.classes], 0)
-                rare = e.at == code.common.n
-                known = np.where(rare, 0, base_of[e.at])
-                n = found.rows
-                # Words that are not common: each once per text, with its places in both sums.
-                h, owner = e.hashes[rare], e.owner[rare]
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                fresh = np.ones(len(h), bool)
-                fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                firsts = np.flatnonzero(fresh)
-                times = np.diff(np.append(firsts, len(h)))
-                shares = np.add.reduceat(shared[rare][order].astype(np.int64), firsts) if len(firsts) else times
-                offsets = np.searchsorted(owner[firsts], np.arange(n + 1)).astype(np.int32)
-                word = pa.StructArray.from_arrays(
-                    [
-                        pa.array(h[firsts].astype(np.int64)),
-                        pa.array(times.astype(np.int32)),
-                        pa.array(shares.astype(np.int32)),
-                    ],
-                    ["h", "times", "shares"],
+                gain -= np.where((e.classes >= SINGLES) & ~e.repeats, code.log_class[e.classes], 0)
+                offsets = pa.array((found.first + np.arange(found.rows + 1)).astype(np.int32))
+                logs = pa.ListArray.from_arrays(offsets, pa.array(gain.astype(np.float32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, logs], [*part.schema.names, "logs"])
+
+    return run
+
+
+def _ask(known):
+    def run(batches):
+        common = known.value.common
+        for batch in batches:
+            for part, texts in chunks(batch):
+                owner, hashes, start = _tokens(words(texts))
+                a = _asked(common.find(hashes) == common.n, owner, hashes, start, _trained(part))
+                rid = part["rid"].to_numpy(zero_copy_only=False)[a.owner]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rid), pa.array(a.place.astype(np.int32)), pa.array(a.own.astype(np.int32)), pa.array(a.h.view(np.int64))],
+                    ["rid", "place", "own", "h"],
                 )
+
+    return run
+
+
+def _level(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), LEVELS - 1)
+
+
+def _mixed(p, c, n, gates) -> np.ndarray:
+    """Predictions mixed with the shares c / n; a context that was not seen leaves them."""
+    gate = np.where(n > 0, gates[_level(n)], 0)
+    return (1 - gate) * p + gate * c / np.maximum(n, 1)
+
+
+class Answers:
+    """The counts of a chunk of texts: of its tokens, and of their pairs and triples and these contexts."""
+
+    def __init__(self, code: Code, part, texts):
+        found = words(texts)
+        e = events(code, found)
+        owner, hashes, start = _tokens(found)
+        trained = _trained(part)
+        rare = e.at == code.common.n
+        a = _asked(rare, owner, hashes, start, trained)
+        count = np.zeros(len(a.h))
+        answers = part["answers"]
+        lengths = np.nan_to_num(answers.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        flat = answers.flatten()
+        place, c = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        count[np.repeat(a.offsets[:-1], lengths) + place] = c
+        self.rows, self.owner = found.rows, owner
+        self.words = code.count[e.at]
+        self.words[rare] = count[a.word]
+        _, times, number = _per_text(owner, hashes)
+        self.others = np.maximum(self.words - np.where(trained[owner], times[number], 0), 0)
+        self.shared = (e.classes >= SINGLES) & ~e.repeats
+        self.logs = part["logs"].flatten().to_numpy(zero_copy_only=False).astype(float)
+        texts_seen = self.others[found.first[1:] + np.arange(found.rows)][owner]  # as often as there are ends
+        self.pair, self.triple = count[a.pair], count[a.triple]
+        self.one = np.where(start, texts_seen, np.concatenate([[0], self.others[:-1]]))
+        # Every pair but one that ends a text is the context of one triple.
+        self.two = np.where(start, texts_seen, np.concatenate([[0], self.pair[:-1]]))
+
+    def base(self, counts) -> np.ndarray:
+        """Predictions by the tables, the words' shares of their classes by ``counts``."""
+        return 10 ** (self.logs + np.where(self.shared, np.log10(counts + SMOOTH), 0))
+
+    def sums(self, values) -> np.ndarray:
+        return np.bincount(self.owner, values, minlength=self.rows)
+
+
+def _ratios(known, gates):
+    """(bin, c): how often a share c / n was how much larger than the prediction so far, by level."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in chunks(batch):
+                a = Answers(known.value, part, texts)
+                p, c, n = a.base(a.others), a.pair, a.one
+                if gates is not None:
+                    p, c, n = _mixed(p, c, n, gates), a.triple, a.two
+                ratio = np.log2(np.maximum(c, 1) / np.maximum(n, 1) / p)
+                bins = np.where(c > 0, np.clip(np.rint(2 * ratio) + BINS // 2, 1, BINS - 1), 0).astype(np.int64)
+                names, counts = np.unique((_level(n) * BINS + bins)[n > 0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], ["bin", "c"])
+
+    return run
+
+
+def _gates(answered: DataFrame, known, gates=None) -> np.ndarray:
+    """The likeliest share of the pairs, or with their ``gates`` of the triples, for each level."""
+    found = answered.where(F.col("fold") == MIXER_FOLD).mapInArrow(_ratios(known, gates), "bin bigint, c bigint")
+    held = np.zeros(LEVELS * BINS)
+    for r in found.groupBy("bin").agg(F.sum("c").alias("c")).collect():  # LEVELS * BINS at most
+        held[r["bin"]] = r["c"]
+    held = held.reshape(LEVELS, BINS)
+    ratio = 2 ** ((np.arange(BINS) - BINS // 2) / 2)
+    ratio[0] = 0
+    share, seen = np.full((LEVELS, 1), 0.5), held.sum(axis=1, keepdims=True)
+    for _ in range(200):
+        share = (held * (share * ratio / (share * ratio + 1 - share))).sum(axis=1, keepdims=True) / np.maximum(seen, 1)
+        share = np.clip(share, 0, 0.999)
+    return share[:, 0]
+
+
+def _score(known, pairs, triples):
+    def run(batches):
+        for batch in batches:
+            for part, texts in chunks(batch):
+                a = Answers(known.value, part, texts)
+                p = _mixed(_mixed(a.base(a.words), a.pair, a.one, pairs), a.triple, a.two, triples)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1],
-                        pa.array(found.counts + 1, pa.int64()),
-                        pa.array(_sum(e.owner, n, (~rare & (code.count[e.at] > 0)).astype(float)).astype(np.int64)),
-                        pa.array(_sum(e.owner, n, known)),
-                        pa.array(_sum(e.owner, n, gain + np.where(shared, known, 0))),
-                        pa.ListArray.from_arrays(pa.array(offsets), word),
+                        part["doc_id"],
+                        part["fold"],
+                        part["n_bytes"],
+                        pa.array(a.sums(np.ones(len(a.owner))).astype(np.int64)),
+                        pa.array(a.sums(a.words > 0).astype(np.int64)),
+                        pa.array(a.sums(np.log10(a.words + SMOOTH))),
+                        pa.array(a.sums(np.log10(p))),
                     ],
-                    ["rid", "doc_id", "fold", "n_bytes", "n_tokens", "n_known", "base", "score", "rare"],
+                    ["doc_id", "fold", "n_bytes", "n_tokens", "n_known", "base", "score"],
                 )
 
     return run
@@ -445,30 +625,31 @@ def score_documents(docs: DataFrame) -> DataFrame:
     observed = materialise(observed.groupBy("key").agg(F.sum("c").alias("c")), "observed")
     model = spark.sparkContext.broadcast(train(code, observed))  # SLOTS counts per table
     kind = dict(docs.dtypes)["doc_id"]
-    schema = (
-        f"rid bigint, doc_id {kind}, fold int, n_bytes bigint, n_tokens bigint, n_known bigint, base double, "
-        "score double, rare array<struct<h: bigint, times: int, shares: int>>"
+    plain = f"doc_id {kind}, fold int, n_bytes bigint"
+    rows = slim.select(F.monotonically_increasing_id().alias("rid"), "*").mapInArrow(
+        _predict(model), f"rid bigint, {plain}, text string, logs array<float>"
     )
-    rows = slim.select(F.monotonically_increasing_id().alias("rid"), "*").mapInArrow(_score(model), schema)
-    rows = materialise(rows, "scores")
-    asked = rows.select("rid", F.explode("rare").alias("w")).select("rid", "w.*")
-    answered = split_join(asked, vocabulary.select("h", "c"), ["h"], "left")
-    logs = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(SMOOTH))
-    added = answered.groupBy("rid").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("more_known"),
-        F.sum(F.col("times") * logs).alias("more_base"),
-        F.sum(F.col("shares") * logs).alias("more_score"),
+    rows = materialise(rows, "predictions")
+    grams = training.select("text").mapInArrow(_count_grams, "h bigint, c bigint")
+    counts = vocabulary.select("h", "c").unionByName(grams.groupBy("h").agg(F.sum("c").alias("c")))
+    asked = rows.select("rid", "fold", "text").mapInArrow(_ask(known), "rid bigint, place int, own int, h bigint")
+    found = split_join(asked, counts, ["h"], "inner").where("c > own")
+    found = found.groupBy("rid").agg(F.collect_list(F.struct("place", (F.col("c") - F.col("own")).alias("c"))).alias("answers"))
+    answered = materialise(rows.join(found, "rid", "left"), "answers")
+    pairs = _gates(answered, known)
+    triples = _gates(answered, known, pairs)
+    out = answered.mapInArrow(
+        _score(known, pairs, triples), f"{plain}, n_tokens bigint, n_known bigint, base double, score double"
     )
-    out = rows.drop("rare").join(added, "rid", "left").fillna(0, ["more_known", "more_base", "more_score"])
     whole = float(np.log10(code.tokens + SMOOTH * (code.distinct + 1)))
-    score = F.col("score") + F.col("more_score")
+    score = F.col("score")
     return out.select(
         "doc_id",
         (F.col("fold") == 0).alias("held_out"),
         "n_tokens",
-        (F.col("n_known") + F.col("more_known")).alias("n_known"),
+        "n_known",
         F.lit(code.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("more_base") - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        score.alias("score"),
+        (F.col("base") - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
+        score,
         (-score * F.lit(float(np.log2(10))) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"),
     )
