@@ -9,7 +9,8 @@ normalised by its length and compared. A document's features are its strongest e
 mean over all of them; a logistic curve fitted on other labelled documents makes them a score.
 
 The models are learnt from a bounded sample of labelled documents (SAMPLE per class, in the order of a
-hash, none of more than LARGEST bytes and at most SAMPLE_BYTES together); scoring covers every whole text.
+hash, none of more than LARGEST bytes and at most SAMPLE_BYTES together, shared out evenly over the classes);
+scoring covers every whole text.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from highwater.llm.words import Index, Words, chunks, mix, words
 FOLDS = 4
 HELD_OUT = 2
 FIT = 3  # the fold whose labels fit the curve; the models count the others
-SAMPLE = 1500
-SAMPLE_BYTES = 12_000_000
+SAMPLE = 2000
+SAMPLE_BYTES = 16_000_000
 LARGEST = 750_000  # so that no single document takes up the sample
 ORDER = 6
 DISCOUNT = 0.75
@@ -229,13 +230,18 @@ def _sample(labelled: DataFrame, limit: int) -> DataFrame:
 def _texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """Texts of the sample's documents up to SAMPLE_BYTES, in the order of their hash.
 
-    A document whose rows together have more than LARGEST bytes is passed over.
+    The bytes are dealt out to both classes alike, a third of them to the documents that fit the curve; what one
+    does not need goes to the others. A document whose rows together have more than LARGEST bytes is passed over.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     picked = docs.select("doc_id", "text").where(size <= LARGEST)
     picked = materialise(picked.join(F.broadcast(sample), "doc_id"), "sample")  # bounded by the sample
-    sizes = picked.groupBy("doc_id").agg(F.sum(size).alias("size")).where(F.col("size") <= LARGEST)
-    held = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # a row per sampled label
+    fits = (F.col("fold") == FIT).alias("fits")
+    sizes = picked.groupBy("doc_id", "toxic", fits).agg(F.sum(size).alias("size")).where(F.col("size") <= LARGEST)
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    own = F.sum("size").over(Window.partitionBy("toxic", "fits").orderBy(*order))
+    sizes = sizes.withColumn("own", own * F.when(F.col("fits"), 2).otherwise(1))
+    held = F.sum("size").over(Window.orderBy("own", *order))  # a row per sampled label
     within = sizes.withColumn("held", held).where(F.col("held") <= SAMPLE_BYTES).select("doc_id")
     return picked.join(F.broadcast(within), "doc_id")
 
