@@ -15,6 +15,7 @@ from highwater.llm.ngram_join import jaccard_components
 from highwater.llm.packing import pack
 from highwater.llm.quality import quality
 from highwater.llm.sharding import shard_documents
+from highwater.llm.simhash import simhash_components
 from highwater.llm.token_count import count_tokens
 from highwater.llm.toxicity import score_toxicity
 
@@ -99,6 +100,10 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_water_filling,
         op10_projected_neighbours,
+        op11_simhash,
         pipeline,
     )
     return {f.__name__: f for f in own}
