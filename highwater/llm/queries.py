@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from highwater.llm import line_dedup, mixing
+from highwater.llm import collocations, hard_negatives, line_dedup, mixing
 from highwater.llm.ann import nearest_neighbours
 from highwater.llm.common import table
 from highwater.llm.lm_score import score_documents
@@ -104,6 +104,14 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -123,6 +131,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_water_filling,
         op10_projected_neighbours,
         op11_simhash,
+        op12_hard_negatives,
+        op13_collocations,
         pipeline,
     )
     return {f.__name__: f for f in own}
@@ -172,4 +182,10 @@ FROM ({mixing.ORACLE_MIXED.format(docs="documents")})
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": _OP1, "op2_line_dedup": _OP2, "op9_water_filling": _OP9}
+    return {
+        "op1_ngram_jaccard": _OP1,
+        "op2_line_dedup": _OP2,
+        "op9_water_filling": _OP9,
+        "op12_hard_negatives": hard_negatives.ORACLE,
+        "op13_collocations": collocations.ORACLE,
+    }

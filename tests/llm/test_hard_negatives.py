@@ -1,0 +1,115 @@
+"""Hard negatives against brute force, and the tree's bounds by themselves."""
+
+import math
+
+import numpy as np
+import pytest
+
+from highwater.llm import hard_negatives as op
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def plain(rows, every=100):
+    clean = {}
+    for i, v, label in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        label = (label + 1) % 10 if i % 7 == 0 else label
+        clean.setdefault(i, []).append((label, np.array([math.floor(256 * x) for x in v], float).tobytes(), [math.floor(256 * x) for x in v]))
+    clean = {i: min(x) for i, x in clean.items()}
+    out = []
+    for a, (label, _, v) in clean.items():
+        if a % every:
+            continue
+        scores = {
+            i: min(max(sum(x * y for x, y in zip(v, w, strict=True)), -(2**63)), 2**63 - 1)
+            for i, (_, _, w) in clean.items()
+            if i != a and len(w) == len(v)
+        }
+        order = sorted(scores, key=lambda i: (-scores[i], i))
+        for p in [i for i in order if clean[i][0] == label][:5]:
+            fit = [i for i in order if clean[i][0] != label and 30 * scores[p] <= 100 * scores[i] <= 90 * scores[p]]
+            out += [(a, p, rank, i, scores[p], scores[i]) for rank, i in enumerate(fit[:10], 1)]
+    return sorted(out)
+
+
+def found(spark, rows, every=100):
+    return sorted(map(tuple, op.hard_negatives(spark.createDataFrame(rows, SCHEMA).repartition(4), every).collect()))
+
+
+def clustered(n, width, clusters, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((clusters, width))
+    x = centres[rng.integers(0, clusters, n)] + 0.3 * rng.standard_normal((n, width))
+    return [(i, [float(y) for y in v], int(rng.integers(0, 10))) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize(("clusters", "width"), [(6, 8), (400, 16)])
+def test_many_cells_parts_and_blocks(spark, monkeypatch, clusters, width):
+    """Several cells, cut into parts, with anchors that pass a part in several tasks."""
+    monkeypatch.setattr(op, "CELL", 60)
+    monkeypatch.setattr(op, "PART_BYTES", 40 * 8 * width)
+    monkeypatch.setattr(op, "BLOCK", 10)
+    monkeypatch.setattr(op, "LEAF", 8)
+    rows = clustered(900, width, clusters, clusters)
+    want = plain(rows, 10)
+    assert found(spark, rows, 10) == want and len(want) > 500
+
+
+def test_a_label_and_a_vector_of_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(op, "CELL", 50)
+    monkeypatch.setattr(op, "PART_BYTES", 100 * 8 * 4)
+    rows = clustered(300, 4, 3, 5) + [(1000 + i, [0.5, 0.25, -0.5, 1.0], 3) for i in range(300)]
+    assert found(spark, rows, 50) == plain(rows, 50)
+
+
+def test_odd_rows(spark):
+    rows = [(0, [1.0, 2.0], 1), (100, [1.0, 2.0], 1), (1, [1.0, 1.9], 1), (2, [0.5, 1.0], 2), (3, [0.6, 0.9], 3), (3, [0.6, 0.9], 3)]
+    rows += [(3, [9.0, 9.0], 4), (4, None, 2), (5, [1.0, None], 2), (6, [1.0, float("nan")], 2), (8, [float("inf"), 0.0], 2)]
+    rows += [(9, [0.7, 0.8], None), (None, [0.7, 0.8], 2), (10, [], 1), (200, [], 2), (11, [0.0, 0.0], 5), (300, [0.0, 0.0], 5)]
+    rows += [(12, [1.0, 2.0, 3.0], 1), (400, [1.0, 2.0, 3.0], 1), (13, [0.9, 1.0, 1.5], 2), (14, [-0.5, -1.0], 6), (15, [0.1, -0.0], 7)]
+    rows += [(500, [3e6, 1e6, 1e6, 1e6], 1), (501, [3e6, 2e6, 1e6, 1e6], 1), (502, [2e6 + 0.3, 1e6, 1e6, 1e6], 2), (504, [1.0, 1.0, 1.0, 1.0], 2)]
+    rows += [(600, [1e300, 1.0, 1.0, 1.0, 1.0], 1), (601, [1e300, 1.0, 2.0, 1.0, 1.0], 1), (602, [1e-290, 1.0, 1.0, 1.0, 5e15], 2)]
+    want = plain(rows)
+    assert found(spark, rows) == want and {r[0] for r in want} >= {100, 300, 400, 500}
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert op.hard_negatives(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [(i, [1.0, i / 7], i % 3, *"abcd") for i in range(0, 30)]
+    names = f"{SCHEMA}, vec string, cell string, lows string, norm string"
+    got = op.hard_negatives(spark.createDataFrame(rows, names), 10)
+    assert sorted(map(tuple, got.collect())) == plain([r[:3] for r in rows], 10)
+
+
+@pytest.mark.parametrize("width", [2, 12])
+def test_bounds_hold_for_every_node(width):
+    rng = np.random.default_rng(width)
+    x = np.floor(100 * rng.standard_normal((3000, width)) * rng.random((3000, 1)))
+    tree = op.CoverTree(x, np.arange(3000), np.zeros(3000, int))
+    below = {}
+    for node in reversed(range(len(tree.children))):
+        kids = tree.children[node]
+        below[node] = tree.rows[node] if kids is None else np.concatenate([below[k] for k in range(kids.start, kids.stop)])
+    assert sorted(below[0]) == list(range(3000)) and len(below) > 20
+    for q in x[:20]:
+        size = np.linalg.norm(q)
+        if not size:
+            continue
+        low, high = op.bounds(tree.centres @ np.append(q / size, 0), tree.radius)
+        for node, rows in below.items():
+            exact = x[rows] @ q / size / tree.largest
+            assert low[node] <= exact.min() and exact.max() <= high[node]
+
+
+def test_search_skips_nodes(monkeypatch):
+    """On clustered vectors only a small part of the rows is multiplied."""
+    rows = clustered(8000, 8, 100, 1)
+    x = np.floor(256 * np.array([r[1] for r in rows]))
+    tree = op.CoverTree(x, np.arange(8000), np.array([r[2] for r in rows]))
+    seen = []
+    monkeypatch.setattr(op, "products", lambda v, q: seen.append(len(v)) or (v @ q).astype(np.int64))
+    for q in range(0, 8000, 400):
+        tree.search(x[q], rows[q][2], q, True, [op.LEAST], [op.MOST], 5)
+    assert sum(seen) < 0.5 * 20 * 800  # of a label's 800 rows
