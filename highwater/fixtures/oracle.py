@@ -216,10 +216,27 @@ _WHOLE_FEED = """
         FROM control"""
 
 
+# A run over the sources of one schema, each with its own mark.
+_LISTED = """
+        SELECT f.* FROM change_feed f
+        JOIN watermarks w ON w.schema_name = f.schema_name AND w.object_name = coalesce(f.object_name, '')
+        WHERE w.schema_name = 'raw_o' AND f.updated > w.watermark"""
+_LISTED_CONTROL = {
+    "changed_by_source": _LISTED,
+    "newest": """
+        SELECT schema_name, coalesce(object_name, '') AS table_name, max(updated) AS newest
+        FROM change_feed
+        WHERE schema_name = 'raw_o' AND updated <= (SELECT max(updated) FROM changed_by_source) GROUP BY ALL""",
+    "moved_control": CTES["moved_control"].replace(
+        "coalesce(n.newest, c.last_modified_datetime)", "greatest(n.newest, c.last_modified_datetime)"
+    ),
+}
+
+
 def _with(relation: str, select: str, **own: str) -> str:
     """``select`` over what ``relation`` needs; ``own`` holds other definitions of some of it."""
     wanted: set[str] = set()
-    todo = [relation, *(["control"] if "changed" in own else [])]
+    todo = [relation, *(["control"] if "changed" in own else []), *own]
     while todo:
         name = todo.pop()
         wanted.add(name)
@@ -252,6 +269,7 @@ def oracle_sql() -> dict[str, str]:
             TIMESTAMP '1990-01-01 00:00:00')""",
         ),
         "incremental_filter_by_source": _with("changed_by_source", "SELECT * FROM changed_by_source"),
+        "incremental_filter_listed": _with("watermarks", _LISTED),
         "incremental_candidates": _with("matched", _grouped("matched")),
         "incremental_candidates_by_source": _with("matched_by_source", _grouped("matched_by_source")),
         "incremental_candidates_raw": _with(
@@ -289,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
             "decisions", f"SELECT {_CANDIDATE_COLUMNS}, last_refreshed_ts, decision FROM decisions", **_RUN
         ),
         "refresh_run_control": _with("control", _WHOLE_FEED),
+        "refresh_run_listed": _with("moved_control", "SELECT * FROM moved_control", **_LISTED_CONTROL),
         "manifest_summary": _with(
             "decision_totals",
             """

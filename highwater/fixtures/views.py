@@ -16,6 +16,7 @@ from highwater.settings import ManifestSettings, RefreshSettings
 WATERMARK = datetime(1999, 1, 1)
 EARLIER = datetime(1997, 3, 4, 5, 6, 7, 250000)
 FEED_MARK = datetime(1998, 1, 1)  # the stored mark of the feed as a whole
+LISTED_SCHEMA = "raw_o"
 RUN_ID = "run-1"
 SETTINGS = RefreshSettings(
     source="MAIN",
@@ -146,6 +147,11 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of one schema."""
+    return sources(spark, sf_dir).where(F.col("schema_name") == LISTED_SCHEMA)
+
+
 def control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with a stored watermark (of several dates), with a null one, and without a row.
 

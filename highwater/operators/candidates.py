@@ -52,7 +52,7 @@ def ready_rows(readiness: DataFrame, source: str) -> DataFrame:
 def candidates(
     change_feed: DataFrame,
     readiness: DataFrame,
-    watermark: datetime | str | Column | DataFrame,
+    watermark: datetime | str | Column | DataFrame | None,
     source: str,
     *,
     grain: str = "entity",
@@ -63,9 +63,11 @@ def candidates(
     ``grain="entity"`` gives one row per lower-case entity and schema: object lists united,
     ``migrated`` if any row says so, newest ``updated``. ``grain="raw"`` keeps a row for each
     case form, migrated state and readiness time, without exact duplicates. The two sides are
-    matched on the entity id as written in both grains.
+    matched on the entity id as written in both grains. ``watermark`` is None where the feed was
+    filtered before.
     """
-    objects = changed_objects(changed_since(change_feed, watermark, floor))
+    changed = change_feed if watermark is None else changed_since(change_feed, watermark, floor)
+    objects = changed_objects(changed)
     ready = ready_rows(readiness, source)
     if grain == "raw":
         return (

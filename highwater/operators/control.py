@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from highwater.functions.skew import split_join
 from highwater.functions.timestamps import comparable, ntz, with_ntz
 from highwater.operators.watermark import named
 
@@ -22,6 +23,8 @@ def next_control(
     *,
     source: tuple[str, str] | None = None,
     cutoff: datetime | str | Column | None = None,
+    read_to: datetime | None = None,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """The control rows once the run is settled.
 
@@ -32,8 +35,10 @@ def next_control(
     beyond the stored mark are read, and the mark does not move back if changes were deleted. Without
     ``source`` every (schema, object) of the feed is a source of its own and the whole feed is read.
     ``cutoff`` leaves out changes newer than what the run has read and never moves a mark back;
-    without it the maximum is over all. Stored rows and the newest changes, one row per key each,
-    are then folded by key together.
+    without it the maximum is over all. ``read_to`` says that the newest change up to the cutoff is known: with
+    ``source`` it is taken as it is and the feed is not read. ``sources`` (schema, object) are the only ones whose
+    changes count where every source has its own mark; the partitions of others are not opened. Stored rows and
+    the newest changes, one row per key each, are then folded by key together.
     """
     stored = with_ntz(control, *STAMPS).select(
         "schema_name", named("table_name").alias("table_name"), "entity_id", *STAMPS, F.lit(True).alias("stored")
@@ -47,6 +52,9 @@ def next_control(
     newest = F.max("updated").alias("newest")
     if source is None:
         feed = with_ntz(change_feed, "updated").withColumn("table_name", named("object_name"))
+        if sources is not None:
+            wanted = sources.select("schema_name", named("object_name").alias("table_name")).distinct()
+            feed = split_join(feed, wanted, CONTROL_KEY, "left_semi")
         reached = feed.where(F.col("schema_name").isNotNull()).groupBy(*CONTROL_KEY).agg(newest)
     else:
         key = [F.lit(value).alias(name) for name, value in zip(CONTROL_KEY, source)]
@@ -57,11 +65,14 @@ def next_control(
             .agg(F.max("last_modified_datetime"))
             .first()[0]
         )
-        if mark is not None:
-            updated, value = comparable(change_feed, "updated", mark)
-            change_feed = change_feed.where(updated > value)
-            newest = F.coalesce(newest, ntz(mark)).alias("newest")
-        reached = with_ntz(change_feed, "updated").agg(newest).select(*key, "newest")
+        if read_to is not None:
+            reached = control.sparkSession.range(1).select(*key, ntz(max(read_to, mark or read_to)).alias("newest"))
+        else:
+            if mark is not None:
+                updated, value = comparable(change_feed, "updated", mark)
+                change_feed = change_feed.where(updated > value)
+                newest = F.coalesce(newest, ntz(mark)).alias("newest")
+            reached = with_ntz(change_feed, "updated").agg(newest).select(*key, "newest")
     moves = F.col("newest").isNotNull()
     if cutoff is not None:
         newest_kept = F.greatest("newest", "last_modified_datetime")

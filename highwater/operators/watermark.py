@@ -61,6 +61,8 @@ def changed_since(
     change_feed: DataFrame,
     watermark: datetime | str | Column | DataFrame,
     floor: datetime = WATERMARK_FLOOR,
+    *,
+    listed: bool = False,
 ) -> DataFrame:
     """Change rows strictly newer than their watermark.
 
@@ -68,15 +70,24 @@ def changed_since(
     source, as ``read_watermarks`` gives) each row meets its own source's watermark. Spark's size
     check decides how: a frame below the broadcast threshold leaves the feed unshuffled, beyond
     it both sides are shuffled and a hot source is split.
+
+    A source without a row starts at the floor, so a frame alone cannot narrow the scan. With
+    ``listed`` it is not read at all: then the least watermark of the frame reaches the scan, and of a feed that
+    is partitioned by schema and object only the partitions of the frame's sources are opened
+    (dynamic pruning, where the frame is broadcast). A change without a schema is then left out.
     """
     if not isinstance(watermark, DataFrame):
         updated, value = comparable(change_feed, "updated", watermark)
         return with_ntz(change_feed.where(updated > value), "updated")
     dated = with_ntz(change_feed.where(F.col("updated").isNotNull()), "updated")
     keys = ["schema_name", "_object"]
-    marks = watermark.select("schema_name", F.col("object_name").alias("_object"), "watermark")
+    mark = F.coalesce("watermark", ntz(floor)).alias("watermark")
+    marks = watermark.select("schema_name", F.col("object_name").alias("_object"), mark)
+    if listed:
+        updated, least = comparable(change_feed, "updated", marks.agg(F.min("watermark").alias("least")).scalar())
+        dated = with_ntz(change_feed.where(updated > least), "updated")
     return (
-        split_join(dated.withColumn("_object", named("object_name")), marks, keys, "left")
+        split_join(dated.withColumn("_object", named("object_name")), marks, keys, "inner" if listed else "left")
         .where(F.col("updated") > F.coalesce("watermark", ntz(floor)))
         .select(*change_feed.columns)
     )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.functions.timestamps import ntz
+from highwater.functions.timestamps import ntz, with_ntz
 from highwater.operators.candidates import candidates
 from highwater.operators.control import next_control
 from highwater.operators.decision import decide
@@ -25,21 +26,26 @@ RECORD_KEY = ("entity_id", "schema_name")
 
 @dataclass(frozen=True)
 class RefreshInputs:
-    """The tables a run reads; none of them is collected."""
+    """The tables a run reads; none of them is collected.
+
+    ``sources`` (schema, object) are the only ones that a run with a mark per source reads; None stands for
+    all that the feed names.
+    """
 
     change_feed: DataFrame
     readiness: DataFrame
     run_registry: DataFrame
     run_log: DataFrame
     control: DataFrame
+    sources: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class RefreshPlan:
     """What a run decided. ``decisions`` is read back from files, so all parts agree.
 
-    ``read_to`` is the newest change there was when the run began (the floor if there was none). As the
-    ``cutoff`` of ``settle`` it keeps changes that came in later for the next run.
+    ``read_to`` is the newest change that the run has read (the floor if there was none), observed while it read
+    them. As the ``cutoff`` of ``settle`` it keeps changes that came in later for the next run.
     """
 
     decisions: DataFrame
@@ -55,7 +61,11 @@ def watermark(inputs: RefreshInputs, settings: RefreshSettings) -> Column | Data
     to list them all.
     """
     if settings.change_source is not None:
+        if inputs.sources is not None:
+            raise ValueError("sources are listed for runs with a mark per source, not for one mark of the feed")
         return stored_watermark(inputs.control, *settings.change_source, settings.watermark_floor)
+    if inputs.sources is not None:
+        return read_watermarks(inputs.sources, inputs.control, settings.watermark_floor)
     stored = inputs.control.withColumnRenamed("table_name", "object_name")
     return read_watermarks(stored, inputs.control, settings.watermark_floor)
 
@@ -64,15 +74,23 @@ def find(
     inputs: RefreshInputs,
     settings: RefreshSettings,
     since: datetime | str | Column | DataFrame,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """The candidates of a run."""
-    return candidates(
-        inputs.change_feed,
-        inputs.readiness,
-        since,
-        settings.source,
-        floor=settings.watermark_floor,
-    )
+    """The candidates of a run. ``seen`` is told the newest change that was read, as text.
+
+    It looks at the changes beyond the one mark, or at those of listed sources beyond theirs, so that filters
+    still reach the scan; with a mark for each source of the feed, at all of them.
+    """
+    feed, listed = inputs.change_feed, inputs.sources is not None
+
+    def watched(df: DataFrame) -> DataFrame:
+        return df if seen is None else df.observe(seen, F.max("updated").cast("string").alias("newest"))
+
+    if isinstance(since, DataFrame) and not listed:
+        changed = changed_since(watched(with_ntz(feed, "updated")), since, settings.watermark_floor)
+    else:
+        changed = watched(changed_since(feed, since, settings.watermark_floor, listed=listed))
+    return candidates(changed, inputs.readiness, None, settings.source)
 
 
 def known(
@@ -113,20 +131,37 @@ def judge(found: DataFrame, inputs: RefreshInputs, settings: RefreshSettings) ->
 def newest_change(
     inputs: RefreshInputs, settings: RefreshSettings, since: datetime | str | Column | DataFrame
 ) -> datetime:
-    """The newest change beyond the watermark, the floor without any. Reads one column of the feed.
+    """The newest change that a run from ``since`` would read, the floor without any. Reads the feed."""
+    if isinstance(since, DataFrame) and inputs.sources is not None:
+        changed = changed_since(inputs.change_feed, since, settings.watermark_floor, listed=True)
+    else:
+        changed = changed_since(inputs.change_feed, settings.watermark_floor if isinstance(since, DataFrame) else since)
+    return changed.agg(F.max("updated")).first()[0] or settings.watermark_floor
+
 
-    Every source's mark is at the floor or beyond, so a frame of marks need not be joined for it.
+def observed(seen: Observation) -> datetime | None:
+    """What ``find`` told, if anything.
+
+    Adaptive execution drops the rest of a plan once one side of a join turns out empty, and the observation with
+    it; PySpark then fails to make a row of no metrics.
     """
-    beyond = settings.watermark_floor if isinstance(since, DataFrame) else since
-    newest = changed_since(inputs.change_feed, beyond).agg(F.max("updated")).first()[0]
-    return newest or settings.watermark_floor
+    try:
+        newest = seen.get["newest"]
+    except Py4JJavaError:
+        return None
+    return datetime.fromisoformat(newest) if newest else None
 
 
 def plan_refresh(inputs: RefreshInputs, settings: RefreshSettings) -> RefreshPlan:
-    """Find and decide once, each written to the shared folder; derive manifest and report."""
+    """Find and decide once, each written to the shared folder; derive manifest and report.
+
+    The feed is read once: the newest change is observed on the way, a maximum, which a task that runs again does
+    not change.
+    """
     since = watermark(inputs, settings)
-    read_to = newest_change(inputs, settings, since)  # before the candidates: what comes in between is seen twice
-    found = materialise(find(inputs, settings, since), "candidates")
+    seen = Observation("changes read")
+    found = materialise(find(inputs, settings, since, seen), "candidates")
+    read_to = max(observed(seen) or newest_change(inputs, settings, since), settings.watermark_floor)
     decided = materialise(judge(found, inputs, settings), "decisions")
     records = manifest(decided, settings.manifest, settings.run_id)
     return RefreshPlan(decided, records, summary(decided), read_to)
@@ -144,8 +179,10 @@ def settle(
 
     Whether they were is read first (one boolean), so a run that failed does not read the feed again.
     ``attempts`` has one row per attempt with the record's entity and schema. Pass ``plan.read_to`` as
-    ``cutoff`` to leave what came in during the run to the next one.
+    ``cutoff`` to leave what came in during the run to the next one; with one mark for the whole feed that value is
+    the next mark, and the feed is not read at all.
     """
+    known_end = settings.change_source is not None and cutoff == plan.read_to > settings.watermark_floor
     ended = outcomes(attempts, settings.max_attempts, settings.retry_codes, keys=RECORD_KEY)
     return next_control(
         inputs.control,
@@ -154,6 +191,8 @@ def settle(
         settings.as_of,
         source=settings.change_source,
         cutoff=cutoff,
+        read_to=plan.read_to if known_end else None,
+        sources=inputs.sources,
     )
 
 

@@ -118,6 +118,35 @@ def test_a_run_knows_what_it_has_read(spark, world):
     assert plan_refresh(nothing, WHOLE_FEED).read_to == WHOLE_FEED.watermark_floor
 
 
+def test_a_run_over_listed_sources_leaves_the_others_alone(spark, world):
+    path, inputs = world
+    extra = [("other", "t", "x", OLD + 3 * DAY)]
+    sources = spark.createDataFrame([("s", "x"), ("s", "never seen")], "schema_name string, object_name string")
+    listed = replace(inputs(extra), sources=sources)
+    plan = plan_refresh(listed, BY_SOURCE)
+    assert labels(plan) == {"new": "NEW", "stale": "REFRESH"} and plan.read_to == OLD + DAY
+    attempts = dispatched(spark, [("new", 200), ("stale", 200)])
+    commit(settle(plan, attempts, listed, BY_SOURCE, cutoff=plan.read_to), BY_SOURCE, path)
+    assert [(r.schema_name, r.table_name, r.last_modified_datetime) for r in read_control(spark, path).collect()] == [
+        ("s", "x", OLD + DAY)
+    ]
+    assert labels(plan_refresh(replace(inputs(extra), sources=sources), BY_SOURCE)) == {}
+    with pytest.raises(ValueError, match="mark per source"):
+        plan_refresh(listed, WHOLE_FEED)
+
+
+def test_nothing_to_read_leaves_old_marks(spark, world):
+    """No change beyond the mark: the mark stays, whether it is known or the feed has to be asked."""
+    path, inputs = world
+    plan = plan_refresh(inputs(), WHOLE_FEED)
+    attempts = dispatched(spark, [("new", 200), ("stale", 200)])
+    commit(settle(plan, attempts, inputs(), WHOLE_FEED, cutoff=plan.read_to), WHOLE_FEED, path)
+    again = plan_refresh(inputs(), WHOLE_FEED)
+    assert again.read_to == WHOLE_FEED.watermark_floor
+    settled = settle(again, attempts, inputs(), WHOLE_FEED, cutoff=again.read_to)
+    assert [r.last_modified_datetime for r in settled.collect()] == [OLD + DAY]
+
+
 def test_the_run_names_its_records(spark, world):
     _, inputs = world
     plan = plan_refresh(inputs(), replace(WHOLE_FEED, run_id="r1"))

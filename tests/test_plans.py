@@ -2,8 +2,10 @@
 
 import re
 from contextlib import contextmanager
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -20,6 +22,7 @@ from highwater.operators.history import (
 )
 from highwater.operators.outcomes import outcomes
 from highwater.operators.watermark import changed_since, read_watermarks, stored_watermark
+from highwater.plans import refresh
 from highwater.plans.refresh import RefreshInputs, decisions, find, judge
 from highwater.operators.control import next_control
 from highwater.sources.control_table import CONTROL_SCHEMA, ensure_control, read_control, upsert_control
@@ -257,4 +260,93 @@ def test_a_stored_mark_reaches_the_scan_of_a_commit(spark, feed, tmp_path):
     stamp = ts("1999-01-01")
     control = spark.createDataFrame([("meta", "feed", None, stamp, stamp, stamp)], CONTROL_SCHEMA)
     moved = next_control(control, feed, True, ts("2001-06-01"), source=("meta", "feed"))
-    assert "GreaterThan(updated,1999-01-01T00:00)" in pushed(moved)
\ No newline at end of file
+    assert "GreaterThan(updated,1999-01-01T00:00)" in pushed(moved)
+
+
+@pytest.fixture
+def written(spark, tmp_path):
+    """The inputs of a run as files, so that scans can be told apart by their columns."""
+    paths = {}
+    for name in ("readiness", "run_registry", "run_log", "change_feed", "control"):
+        paths[name] = str(tmp_path / name)
+        getattr(views, name)(spark, SF_DIR).write.parquet(paths[name])
+    return RefreshInputs(**{name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+@pytest.mark.parametrize("whole", [True, False], ids=["whole_feed", "by_source"])
+def test_a_run_reads_the_feed_once(spark, written, monkeypatch, whole):
+    settings = replace(views.SETTINGS, change_source=views.SETTINGS.change_source if whole else None)
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = plan_of(df)
+        return materialise(df, label)
+
+    monkeypatch.setattr(refresh, "materialise", noted)
+    monkeypatch.setattr(refresh, "newest_change", lambda *_: pytest.fail("the feed was read again"))
+    plan = refresh.plan_refresh(written, settings)
+    assert {label: len(re.findall(r"FileScan parquet \[[^\]]*object_name#", text)) for label, text in plans.items()} == {
+        "candidates": 1,
+        "decisions": 0,
+    }
+    assert plan.read_to == written.change_feed.agg(F.max("updated")).first()[0]
+    settled = refresh.settle(plan, views.record_attempts(plan.manifest), written, settings, cutoff=plan.read_to)
+    scans = re.findall(r"FileScan parquet \[[^\]]*updated#", plan_of(settled))
+    assert len(scans) == (0 if whole else 1)
+    want = next_control(
+        written.control, written.change_feed, True, settings.as_of, source=settings.change_source, cutoff=plan.read_to
+    )
+    assert sorted(map(tuple, settled.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_observing_leaves_the_filter_in_the_scan(written):
+    since = refresh.watermark(written, views.SETTINGS)
+    found = find(written, views.SETTINGS, since, Observation("seen"))
+    assert "GreaterThan(updated,ScalarSubquery" in pushed(found)
+
+
+@pytest.fixture
+def partitioned(spark, tmp_path):
+    path = str(tmp_path / "by_source")
+    views.change_feed(spark, SF_DIR).write.partitionBy("schema_name", "object_name").parquet(path)
+    return spark.read.parquet(path)
+
+
+def files_read(df) -> int:
+    """Files that the scans of a plan that ran have opened."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan().finalPhysicalPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if "FileSourceScan" in node.getClass().getName() and node.metrics().contains("numFiles"):
+            total += node.metrics().apply("numFiles").value()
+        if "QueryStage" in node.getClass().getName():
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_listed_sources_prune_partitions_and_push_the_least_mark(spark, partitioned, tmp_path):
+    control = str(tmp_path / "control")
+    views.control(spark, SF_DIR).write.parquet(control)
+    control = spark.read.parquet(control)
+    few = control.where("table_name IN ('t_N2', 't_A3') AND schema_name = 'raw_o'")
+    marks = read_watermarks(few.withColumnRenamed("table_name", "object_name"), control)
+    changed = changed_since(partitioned, marks, listed=True)
+    text = spark._jvm.PythonSQLUtils.explainString(changed._jdf.queryExecution(), "formatted")
+    assert "dynamicpruning" in text
+    assert "GreaterThan(updated,ScalarSubquery" in pushed(changed)
+    want = partitioned.where(
+        "schema_name = 'raw_o' AND (object_name = 't_N2' AND updated > timestamp_ntz'1997-03-04 05:06:07.25' "
+        "OR object_name = 't_A3' AND updated > timestamp_ntz'1998-12-30')"
+    )
+    assert changed.exceptAll(want).isEmpty() and want.exceptAll(changed).isEmpty() and not want.isEmpty()
+    assert files_read(changed.select("updated")) < len(partitioned.inputFiles()) / 4
+
+
+def test_an_empty_list_reads_nothing(spark, partitioned):
+    none = spark.createDataFrame([], "schema_name string, object_name string, watermark timestamp_ntz")
+    assert changed_since(partitioned, none, listed=True).count() == 0
+    assert changed_since(partitioned, none).count() == partitioned.where("updated > timestamp_ntz'1990-01-01'").count()
