@@ -22,7 +22,7 @@ from highwater.llm.common import ship
 from highwater.llm.words import chunks
 
 TOKENS = 2048
-MAX_DOCUMENTS = 1024
+MAX_DOCUMENTS = TOKENS  # no limit beyond that of the tokens, since a document has one at least
 ATTENTION = TOKENS * TOKENS
 WEIGHTS = (1.0, 0.05, 0.05)
 GROUP = 8192
