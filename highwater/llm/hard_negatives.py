@@ -39,7 +39,7 @@ CELLS = 1024
 PART_BYTES = 32 << 20
 BLOCK = 1 << 16  # anchors that pass a part in one task
 FANOUT = 16
-LEAF = 128
+LEAF = 512
 LEAST, MOST = -(2**63), 2**63 - 1
 
 
@@ -71,12 +71,10 @@ def matrix(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), width)
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers; beyond 64 bits the nearest long."""
-    if not vectors.size:
-        return np.zeros(len(vectors), np.int64)
+def products(vectors: np.ndarray, query: np.ndarray, largest: float) -> np.ndarray:
+    """Exact inner products of whole numbers up to ``largest``; beyond 64 bits the nearest long."""
     with np.errstate(over="ignore"):
-        if len(query) * np.abs(vectors).max() * np.abs(query).max() < 2.0**53:
+        if len(query) * largest * np.abs(query).max(initial=0) < 2.0**53:
             return (vectors @ query).astype(np.int64)
     q = [int(x) for x in query]
     exact = [sum(int(a) * b for a, b in zip(v, q, strict=True)) for v in vectors]
@@ -118,10 +116,10 @@ def farthest_first(points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray,
 
 
 class CoverTree:
-    """Nodes with a centre, a covering radius and either children or the rows of a leaf."""
+    """Nodes with a centre, a covering radius and either children or the rows of a leaf, which lie side by side."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, labels: np.ndarray):
-        self.vectors, self.ids, self.labels = vectors, ids, labels
+        self.top = float(np.abs(vectors).max(initial=0))
         self.largest = float(norms(vectors).max())
         points = augmented(vectors, self.largest)
         self.centres, self.radius, self.children, self.rows = [points[0]], [2.0], [None], [np.arange(len(vectors))]
@@ -145,6 +143,12 @@ class CoverTree:
             self.children[node], self.rows[node] = slice(first, len(self.centres)), None
             open_ += range(first, len(self.centres))
         self.centres, self.radius = np.array(self.centres), np.array(self.radius)
+        leaves = [n for n, rows in enumerate(self.rows) if rows is not None]
+        order = np.concatenate([self.rows[n] for n in leaves])
+        self.vectors, self.ids, self.labels = vectors[order], ids[order], labels[order]
+        ends = np.cumsum([len(self.rows[n]) for n in leaves])
+        for n, end in zip(leaves, ends, strict=True):
+            self.rows[n] = slice(int(end) - len(self.rows[n]), int(end))
 
     def search(self, query, label, own, same: bool, lows, highs, k: int):
         """Per window (a score between its low and high) the k best (ids, scores) of this label, or of all others."""
@@ -152,6 +156,7 @@ class CoverTree:
         scale = size * self.largest
         unit = np.append(query / size, 0.0) if size and np.isfinite(scale) else None
         found = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in lows]
+        kth = [LEAST] * len(lows)  # the worst of a window that has k
         least = np.array(lows, np.float64)  # what a window still takes
         most = np.array(highs, np.float64)
         heap = [(-np.inf, 0, -np.inf, np.inf)]
@@ -171,17 +176,18 @@ class CoverTree:
                     heapq.heappush(heap, (-high[n], there.start + int(n), low[n], high[n]))
                 continue
             rows = self.rows[node]
-            rows = rows[((self.labels[rows] == label) == same) & (self.ids[rows] != own)]
-            if not len(rows):
-                continue
-            scores, ids = products(self.vectors[rows], query), self.ids[rows]
+            scores, ids = products(self.vectors[rows], query, self.top), self.ids[rows]
+            fits = ((self.labels[rows] == label) == same) & (ids != own)
             for w in np.flatnonzero(open_):
-                fit = (scores >= lows[w]) & (scores <= highs[w])
+                fit = np.flatnonzero(fits & (scores >= max(lows[w], kth[w])) & (scores <= highs[w]))
+                if not len(fit):
+                    continue
                 i, s = np.concatenate([found[w][0], ids[fit]]), np.concatenate([found[w][1], scores[fit]])
-                top = np.lexsort((i, -s.astype(np.float64) if np.abs(s).max(initial=0) < 2**53 else [-int(x) for x in s]))[:k]
+                top = np.lexsort((i, ~s))[:k]  # ~s falls as s rises, without an overflow
                 found[w] = i[top], s[top]
                 if len(top) == k:
-                    least[w] = max(least[w], float(s[top[-1]]))
+                    kth[w] = int(s[top[-1]])
+                    least[w] = max(least[w], float(kth[w]))
         return found
 
 
