@@ -8,8 +8,10 @@ in the order of their distance, their points are verified on the whole vectors,
 at the first leaf beyond that radius.
 
 The tree's upper part is cut from a bounded sample (SAMPLE projections) into cells, one or more per task.
-A query is first answered in its own cell; the distance found there bounds the cells that it goes on to
-under the same test. Every vector is in the index.
+A query is first answered in its own cell. Then it goes on in rounds, to the nearest cells that it has not seen, in the
+first round to STEP of them and in each further one to GROWTH times as many; after each round the distance found so far
+tightens its test, and a query that no cell passes leaves. The queries that go to a cell travel packed. Every vector is in
+the index; vectors of different width, which have no cosine, are indexes of their own.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ SAMPLE = 20_000
 CELL = 4096  # vectors per cell, about
 LEAF = 256
 BLOCK = 1024  # queries that meet a cell together
+STEP, GROWTH = 4, 4
+MAX_DEPTH = 16  # so 65,536 cells at most, larger ones beyond that
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -93,16 +97,17 @@ def _project(x: np.ndarray) -> np.ndarray:
 
 
 class Splits:
-    """The upper part of the tree: medians of a sample, cycling through the directions."""
+    """The upper part of the tree: medians of a sample, in the direction that a node spreads most in."""
 
     def __init__(self, sample: np.ndarray, depth: int):
-        self.depth, self.cuts = depth, np.zeros(2**depth)
+        self.depth, self.cuts, self.axes = depth, np.zeros(2**depth), np.zeros(2**depth, np.int64)
         self._cut(sample, 1, 0)
 
     def _cut(self, sample, node, level):
         if level == self.depth:
             return
-        axis = level % DIMENSIONS
+        axis = int(sample.std(axis=0).argmax()) if len(sample) else level % DIMENSIONS
+        self.axes[node] = axis
         self.cuts[node] = np.median(sample[:, axis]) if len(sample) else 0.0
         right = sample[:, axis] > self.cuts[node]
         self._cut(sample[~right], 2 * node, level + 1)
@@ -110,24 +115,23 @@ class Splits:
 
     def cell(self, points: np.ndarray) -> np.ndarray:
         node = np.ones(len(points), np.int64)
-        for level in range(self.depth):
-            node = 2 * node + (points[:, level % DIMENSIONS] > self.cuts[node])
+        for _ in range(self.depth):
+            node = 2 * node + (points[np.arange(len(points)), self.axes[node]] > self.cuts[node])
         return node - 2**self.depth
 
+
+class Boxes:
+    """What the vectors of each cell span in every direction."""
+
+    def __init__(self, cells: int):
+        self.low, self.high = np.full((cells, DIMENSIONS), np.inf), np.full((cells, DIMENSIONS), -np.inf)
+
     def within(self, point: np.ndarray, radius: float) -> np.ndarray:
-        """Cells that have a point within ``radius`` of ``point``."""
-        nodes, offsets = np.ones(1, np.int64), np.zeros((1, DIMENSIONS))
-        for level in range(self.depth):
-            axis = level % DIMENSIONS
-            gap = point[axis] - self.cuts[nodes]
-            left, right = offsets.copy(), offsets.copy()
-            left[:, axis] = np.maximum(left[:, axis], gap)  # the point lies right of the cut
-            right[:, axis] = np.maximum(right[:, axis], -gap)
-            nodes = np.concatenate([2 * nodes, 2 * nodes + 1])
-            offsets = np.concatenate([left, right])
-            near = (offsets**2).sum(axis=1) <= radius * radius
-            nodes, offsets = nodes[near], offsets[near]
-        return nodes - 2**self.depth
+        """Cells whose box comes within ``radius`` of ``point``, the nearest first."""
+        gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
+        away = (gap * gap).sum(axis=1)
+        near = np.flatnonzero(away <= radius * radius)
+        return near[np.argsort(away[near], kind="stable")]
 
 
 class Tree:
@@ -185,32 +189,121 @@ def nearest(tree, vectors, ids, query, projected, own_id, k, limit, bound=math.i
     return best_ids, best
 
 
+def _by_width(batch):
+    """(width, rows, vectors) for every width of a batch with the columns width and vec."""
+    widths = batch.column(batch.schema.get_field_index("width")).to_numpy(zero_copy_only=False)
+    column = batch.column(batch.schema.get_field_index("vec"))
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths == width)
+        yield int(width), rows, _matrix(column.take(pa.array(rows)))
+
+
 def _cells(splits):
+    """(vec_id, width, vec, cell) of (vec_id, width, vec)."""
+
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                cells = splits.value.cell(_project(_matrix(batch.column(1))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells)], ["vec_id", "vec", "cell"])
+            cells = np.zeros(batch.num_rows, np.int64)
+            for width, rows, vectors in _by_width(batch):
+                cells[rows] = splits.value[width].cell(_project(vectors))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells)], ["vec_id", "width", "vec", "cell"])
+
+    return run
+
+
+def _spans(batches):
+    """(width, cell, axis, low, high) of what the cells of a batch span."""
+    for batch in batches:
+        rows = ([], [], [], [], [])
+        cells = batch.column(3).to_numpy()
+        for width, at, vectors in _by_width(batch):
+            points = _project(vectors)
+            order = np.argsort(cells[at], kind="stable")
+            firsts = np.flatnonzero(np.diff(cells[at][order], prepend=-1))
+            low = np.minimum.reduceat(points[order], firsts)
+            high = np.maximum.reduceat(points[order], firsts)
+            there = cells[at][order][firsts]
+            rows[0].extend([width] * low.size)
+            rows[1].extend(np.repeat(there, DIMENSIONS))
+            rows[2].extend(np.tile(np.arange(DIMENSIONS), len(there)))
+            rows[3].extend(low.ravel())
+            rows[4].extend(high.ravel())
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(rows, kinds, strict=True)], ["width", "cell", "axis", "low", "high"]
+        )
+
+
+def boxes_of(cells: DataFrame, index: dict[int, Splits]) -> dict[int, Boxes]:
+    """The boxes of all cells of each width: DIMENSIONS rows a cell, of 2 ** MAX_DEPTH cells at most."""
+    out = {width: Boxes(2**splits.depth) for width, splits in index.items()}
+    spans = cells.mapInArrow(_spans, "width int, cell bigint, axis int, low double, high double")
+    spans = spans.groupBy("width", "cell", "axis").agg(F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+    width, cell, axis, low, high = (spans[c].to_numpy() for c in ("width", "cell", "axis", "low", "high"))
+    for w, boxes in out.items():
+        mine = width == w
+        boxes.low[cell[mine], axis[mine]], boxes.high[cell[mine], axis[mine]] = low[mine], high[mine]
+    return out
+
+
+_PACKED = "width int, cell bigint, n int, ids binary, vecs binary, bounds binary"
+
+
+def _visits(boxes, limit: float, seen: int | None, step: int):
+    """Packed queries for the cells that they visit now. Columns: vec_id, width, vec, cell, bound.
+
+    Without ``seen`` that is the own cell, otherwise the next ``step`` of all others after the first ``seen``.
+    """
+
+    def run(batches):
+        for batch in batches:
+            packed = []
+            ids, own, bounds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 4))
+            for width, rows, vectors in _by_width(batch):
+                if seen is None:
+                    queries, cells = np.arange(len(rows)), own[rows]
+                else:
+                    points, there = _project(vectors), []
+                    for i, r in enumerate(rows):
+                        near = boxes.value[width].within(points[i], math.sqrt(limit * bounds[r]) + 1e-9)
+                        there.append(near[near != own[r]][seen : seen + step])
+                    queries = np.repeat(np.arange(len(rows)), [len(t) for t in there])
+                    cells = np.concatenate(there).astype(np.int64)
+                for cell in np.unique(cells):
+                    mine = queries[cells == cell]
+                    for at in range(0, len(mine), BLOCK):
+                        some = mine[at : at + BLOCK]
+                        of = rows[some]
+                        packed.append(
+                            (width, cell, len(some), ids[of].tobytes(), vectors[some].tobytes(), bounds[of].tobytes())
+                        )
+            columns = list(zip(*packed, strict=True)) or [()] * 6
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                ["width", "cell", "n", "ids", "vecs", "bounds"],
+            )
 
     return run
 
 
 def _answer(k: int, limit: float):
-    """Cells of vectors and queries: the best of the cell for each query. Columns below."""
+    """A part of a cell and packed queries: the best of the part for each query."""
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])
         if left.num_rows and right.num_rows:
             vectors, ids = _matrix(left["vec"]), left["vec_id"].to_numpy()
             tree = Tree(_project(vectors))
-            queries = _matrix(right["vec"])
-            projected = _project(queries)
-            bounds = right["bound"].to_numpy()
-            for i, id_ in enumerate(right["vec_id"].to_numpy()):
-                found, scores = nearest(tree, vectors, ids, queries[i], projected[i], id_, k, limit, bounds[i])
-                out[0].extend([id_] * len(found))
-                out[1].extend(found)
-                out[2].extend(scores)
+            for names, vecs, bounds in zip(*(right[c].to_pylist() for c in ("ids", "vecs", "bounds")), strict=True):
+                names, bounds = np.frombuffer(names, np.int64), np.frombuffer(bounds, np.float64)
+                queries = np.frombuffer(vecs, np.float64).reshape(len(names), -1)
+                projected = _project(queries)
+                for i, id_ in enumerate(names):
+                    found, scores = nearest(tree, vectors, ids, queries[i], projected[i], id_, k, limit, bounds[i])
+                    out[0].extend([id_] * len(found))
+                    out[1].extend(found)
+                    out[2].extend(scores)
         return pa.table(
             {"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())}
         )
@@ -218,44 +311,22 @@ def _answer(k: int, limit: float):
     return run
 
 
-def _onward(splits, limit):
-    """The other cells that a query has to visit. Columns: vec_id, vec, cell, bound."""
+def _meet(cells: DataFrame, visits: DataFrame, k: int, limit: float) -> DataFrame:
+    """Answers of each cell, cells and packed queries dealt in blocks: a cell of more than 2 * CELL vectors is
+    searched in parts, and about BLOCK queries, 2 * BLOCK at most from one row, meet a part in one task."""
+    own = ["width", "cell"]
+    sizes = cells.groupBy(*own).agg(F.ceil(F.count(F.lit(1)) / (2 * CELL)).cast("int").alias("parts"))
+    asks = visits.groupBy(*own).agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    grid = sizes.join(asks, own)
 
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = _project(_matrix(batch.column(1)))
-            rows, cells = [], []
-            for i, (own, bound) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                there = splits.value.within(points[i], math.sqrt(limit * bound) + 1e-9)
-                there = there[there != own]
-                rows.append(np.full(len(there), i))
-                cells.append(there)
-            picked = batch.take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays(
-                [picked.column(0), picked.column(1), pa.array(np.concatenate(cells), pa.int64()), picked.column(3)],
-                ["vec_id", "vec", "cell", "bound"],
-            )
-
-    return run
+    def dealt(df, name, mine, other):
+        placed = split_join(df, grid, own, "inner")
+        number = F.pmod(F.xxhash64(name, F.lit(mine)), F.col(mine)).cast("int").alias(mine[:-1])
+        return placed.select(*df.columns, number, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[:-1]))
 
-
-def _meet(cells: DataFrame, queries: DataFrame, k: int, limit: float) -> DataFrame:
-    """Answers of each cell, cells and queries dealt in blocks: a cell of more than 2 * CELL vectors is
-    searched in parts, and at most about BLOCK queries meet a part in one task."""
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / (2 * CELL)).cast("int").alias("parts"))
-    asks = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    grid = sizes.join(asks, "cell")
-
-    def dealt(df, own, other):
-        placed = split_join(df, grid, ["cell"], "inner")
-        mine = F.pmod(F.xxhash64("vec_id", F.lit(own)), F.col(own)).cast("int").alias(own[:-1])
-        return placed.select(*df.columns, mine, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[:-1]))
-
-    keys = ("cell", "part", "block")
-    left = dealt(cells, "parts", "blocks").groupBy(*keys)
-    right = dealt(queries, "blocks", "parts").groupBy(*keys)
+    keys = (*own, "part", "block")
+    left = dealt(cells, "vec_id", "parts", "blocks").groupBy(*keys)
+    right = dealt(visits, "ids", "blocks", "parts").groupBy(*keys)
     return left.cogroup(right).applyInArrow(_answer(k, limit), "query_id bigint, vec_id bigint, score double")
 
 
@@ -271,35 +342,44 @@ def nearest_neighbours(
 
     ``vectors`` has vec_id and embedding; queries are the rows whose vec_id is divisible by ``every``.
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
-    vectors without an id. The width of the vector with the smallest id counts; others of another width
-    take no part. Equal scores go by the smaller vec_id; of rows with the same vec_id one is kept, the
-    one with the smallest bytes. Extra columns are not read; without vectors there are no rows.
+    vectors without an id. A vector is compared with those of its own width only. Equal scores go by the smaller
+    vec_id; of rows with the same vec_id one is kept, the one with the smallest bytes. Extra columns are not read;
+    without vectors there are no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
     columns = "vec_id bigint, width int, vec binary"
     clean = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_prepare, columns)
-    clean = materialise(clean.groupBy("vec_id").agg(F.min(F.struct("vec", "width")).alias("v")).select("vec_id", "v.*"), "vectors")
-    width = clean.agg(F.min_by("width", "vec_id")).first()[0]
-    if width is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    clean = clean.where(F.col("width") == width).select("vec_id", "vec")
-    n = clean.count()
-    depth = max(0, math.ceil(math.log2(max(1, n / CELL))))
-    drawn = clean.where(F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(1 << 20)) < SAMPLE * (1 << 20) / n)
-    sample = _matrix(drawn.select("vec").toArrow()["vec"]) if n else np.empty((0, width))
-    splits = spark.sparkContext.broadcast(Splits(_project(sample) if len(sample) else np.empty((0, DIMENSIONS)), depth))
+    clean = clean.groupBy("vec_id").agg(F.min(F.struct("vec", "width")).alias("v"))
+    clean = materialise(clean.select("vec_id", "v.width", "v.vec"), "vectors")
+    counts = {r.width: r["count"] for r in clean.groupBy("width").count().collect()}  # a row per width
+    n = sum(counts.values())
+    share = SAMPLE * (1 << 20) / max(1, n)
+    drawn = clean.where(F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(1 << 20)) < share).select("width", "vec").toArrow()
+    found = {width: _project(x) for batch in drawn.combine_chunks().to_batches() for width, _, x in _by_width(batch)}
+    index = {}
+    for width, m in counts.items():
+        depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(m / CELL))))
+        index[width] = Splits(found.get(width, np.empty((0, DIMENSIONS))), depth)
+    splits = spark.sparkContext.broadcast(index)  # 2 ** MAX_DEPTH cuts a width at most
     limit = chi_square_quantile(confidence, DIMENSIONS)
-    cells = materialise(clean.mapInArrow(_cells(splits), "vec_id bigint, vec binary, cell bigint"), "cells")
+    cells = materialise(clean.mapInArrow(_cells(splits), f"{columns}, cell bigint"), "cells")
+    boxes = spark.sparkContext.broadcast(boxes_of(cells, index))
     # Columns of their own, since queries meet the rows they were taken from.
     queries = cells.where(F.col("vec_id") % every == 0).select(*[F.col(c).alias(c) for c in cells.columns])
-    first = materialise(_meet(cells, queries.withColumn("bound", F.lit(4.0)), k, limit), "first")
-    bound = F.when(F.col("n") >= k, F.greatest(2 - 2 * F.col("worst"), F.lit(0.0))).otherwise(4.0)
-    counted = _best(first, k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
-    known = queries.join(counted, F.col("vec_id") == F.col("query_id"), "left")
-    known = known.select("vec_id", "vec", "cell", F.coalesce(bound, F.lit(4.0)).alias("bound"))
-    onward = known.repartition(partitions(spark), "vec_id").mapInArrow(
-        _onward(splits, limit), "vec_id bigint, vec binary, cell bigint, bound double"
-    )
-    second = _meet(cells, materialise(onward, "onward"), k, limit)
-    return _best(first.unionByName(second), k).select("query_id", "rank", "vec_id", "score")
+    n_tasks = partitions(spark)
+    visits = queries.withColumn("bound", F.lit(4.0)).mapInArrow(_visits(boxes, limit, None, 0), _PACKED)
+    best = materialise(_best(_meet(cells, materialise(visits, "visits"), k, limit), k).drop("rank"), "best")
+    seen, step, most = 0, STEP, max((2**i.depth for i in index.values()), default=0) - 1
+    while seen < most:
+        bound = F.when(F.col("n") >= k, F.greatest(2 - 2 * F.col("worst"), F.lit(0.0))).otherwise(4.0)
+        counted = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
+        known = queries.join(counted, F.col("vec_id") == F.col("query_id"), "left")
+        known = known.select(*queries.columns, F.coalesce(bound, F.lit(4.0)).alias("bound"))
+        onward = known.repartition(n_tasks, "vec_id").mapInArrow(_visits(boxes, limit, seen, step), _PACKED)
+        onward = materialise(onward, "visits")
+        if onward.isEmpty():
+            break
+        best = materialise(_best(best.unionByName(_meet(cells, onward, k, limit)), k).drop("rank"), "best")
+        seen, step = seen + step, step * GROWTH
+    return _best(best, k).select("query_id", "rank", "vec_id", "score")
