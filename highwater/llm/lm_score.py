@@ -11,13 +11,18 @@ online, batch after batch) and squashed; a last table, by the mixed prediction a
 the result adaptively. The sum over all bits of a token is its prediction by the tables.
 
 This is then mixed with two predictors that grow with the corpus: how often the token followed the one token
-before it, and the two before it, counted for all such pairs and triples without a limit (keys are 64-bit hashes).
-The share of each is a gate by how often its context was seen. A training text is scored without its own
-pairs and triples. The sum over all tokens is the text's total, also given in bits per byte.
-
-Counts come from all training documents. The vocabulary, pairs and triples grow with the corpus and are joined,
-never broadcast; what is broadcast (COMMON words, the tables) has a fixed size. The weights, the refinement and the
-gates are trained on a tenth of the training documents, with tables, pairs and triples that have not seen them.
+before it, and the two before it, counted for all such pairs and triples without a limit. The share of each is a
+gate by how often both contexts were seen. A training text is scored without its own pairs and triples. The sum over
+all tokens is the text's total, also given in bits per byte.
+
+Counts come from all training documents. The bits of the tables are expanded and summed on Spark, context by context; of
+them only sums reach the driver, a bounded number. All words that are not COMMON, pairs and triples are counted and
+answered in one exchange: texts are dealt to chunks, a chunk sends every bucket of hashes one sorted, packed list of those
+it asks for with its own training counts, the bucket adds the lists up and sends each back its totals, mostly a
+byte each. What is broadcast (COMMON words, a prediction per class and context) has a fixed size. The weights, the refinement
+and the gates are trained on a tenth of the training documents, with tables, pairs and triples that have not
+seen them. A pair or triple is known by 40 bits and its bucket's number, so of the some 4 million in a bucket one in
+100,000 meets another; words have 64.
 """
 
 from __future__ import annotations
@@ -31,7 +36,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.functions.skew import split_join
 from highwater.llm.common import ship
 from highwater.llm.words import Index, Words, chunks, mix, words
 
@@ -50,8 +54,12 @@ SMOOTH = 0.1
 END = np.uint64(0x0E4D0F7E3A5B9C11)  # stands for the end of a text
 FLUSH = 2_000_000
 START = np.uint64(0x3C6EF372FE94F82B)  # stands before a text
-LEVELS = 32  # gates of pairs and of triples, by the logarithm of the context's count
+LEVELS = 32  # gates of pairs and of triples, by the logarithms of the counts of both contexts
 BINS = 128
+#: What a chunk has of text and of tokens, about, and a bucket of hashes.
+CHUNK_TEXT, CHUNK_TOKENS = 8 << 20, 1_500_000
+BUCKET = 4_000_000
+GRAM_BYTES = 5  # of a pair or triple in its bucket
 
 
 def shapes(found: Words) -> np.ndarray:
@@ -262,7 +270,65 @@ def _slot(kind: int, context, node) -> np.ndarray:
 
 
 REPEAT_NODE = SINGLES + SHAPES + 1  # beyond all nodes of the code
+NODES = REPEAT_NODE + 1
+CONTEXTS = (GUIDES + 1) * GROUPS
 INPUTS = 4
+_SUMS = "fold int, both int, run int, node int, one double, zero double"
+
+
+def _expanded(code):
+    """The bits of all observations of one context (guide and group), summed. Columns of ``_SUMS``."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        known = code.value
+        classes, guide, group, run_, repeats, fold = _split(t["key"].to_numpy())
+        c = t["c"].to_numpy().astype(float)
+        both = int(guide[0]) * GROUPS + int(group[0])
+        rows = []
+
+        def add(of, bit, place, width):
+            """Sums of a bit over ``place``, fold by fold."""
+            at = fold[of] * width + place
+            one, zero = (np.bincount(at, c[of] * x, 2 * width) for x in (bit, ~bit))
+            found = np.flatnonzero(one + zero)
+            return found // width, found % width, one[found], zero[found]
+
+        every = np.arange(len(c))
+        f, r, one, zero = add(every, repeats, run_, 4)
+        rows.append((f, r, np.full(len(f), REPEAT_NODE), one, zero))
+        open_ = np.flatnonzero(~repeats)
+        for depth in range(known.nodes.shape[1]):
+            open_ = open_[known.lengths[classes[open_]] > depth]
+            bit, node = known.bits[classes[open_], depth] == 1, known.nodes[classes[open_], depth]
+            f, n, one, zero = add(open_, bit, node, NODES)
+            rows.append((f, np.zeros(len(f), np.int64), n, one, zero))
+        f, r, n, one, zero = (np.concatenate(x) for x in zip(*rows, strict=True))
+        whole = (f, np.full(len(f), both), r, n)
+        return pa.table(
+            [*(pa.array(x, pa.int32()) for x in whole), pa.array(one), pa.array(zero)],
+            names=["fold", "both", "run", "node", "one", "zero"],
+        )
+
+    return run
+
+
+def _slot(kind: int, context, node) -> np.ndarray:
+    key = (np.asarray(context).astype(np.uint64) << np.uint64(16)) + np.asarray(node).astype(np.uint64)
+    return (mix(key * np.uint64(8) + np.uint64(kind)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+@dataclass
+class Sums:
+    """Summed bits: how often a node was left by a one and by a zero, for each context and run."""
+
+    both: np.ndarray
+    run: np.ndarray
+    node: np.ndarray
+    one: np.ndarray
+    zero: np.ndarray
+
+    def where(self, keep) -> Sums:
+        return Sums(*(x[keep] for x in (self.both, self.run, self.node, self.one, self.zero)))
 
 
 class Mixer:
@@ -274,36 +340,25 @@ class Mixer:
         self.weights = np.zeros((DEPTHS + 1, INPUTS + 1))
         self.weights[:, 1:INPUTS] = 0.4
         self.refined = np.zeros((2, GUIDES + 1, 33)) + 1e-3
+        self.gate = np.zeros(NODES, np.int64)  # by the node's depth
+        self.gate[REPEAT_NODE] = DEPTHS
+        for depth in range(code.nodes.shape[1]):
+            self.gate[code.nodes[code.lengths > depth, depth]] = min(depth, DEPTHS - 1)
+
+    def _slots(self, both, run, node):
+        contexts = (run, both // GROUPS, both % GROUPS, both * 4 + run)
+        return [_slot(k, context, node) for k, context in enumerate(contexts)]
 
-    def _slots(self, node, guide, group, run):
-        both = guide * GROUPS + group
-        return [_slot(0, run, node), _slot(1, guide, node), _slot(2, group, node), _slot(3, both * 4 + run, node)]
-
-    def steps(self, classes, guide, group, run, repeats):
-        """The bits of every observation: which observations, gate, node, bit and contexts."""
-        yield np.arange(len(classes)), DEPTHS, np.full(len(classes), REPEAT_NODE), repeats, guide, group, run
-        rows = np.flatnonzero(~repeats)
-        depth = 0
-        while len(rows):
-            rows = rows[self.code.lengths[classes[rows]] > depth]
-            c = classes[rows]
-            node, bit = self.code.nodes[c, depth], self.code.bits[c, depth] == 1
-            yield rows, min(depth, DEPTHS - 1), node, bit, guide[rows], group[rows], np.zeros(len(rows), np.int64)
-            depth += 1
-            if depth >= self.code.nodes.shape[1]:
-                break
-
-    def count(self, observed, c) -> None:
-        for rows, _, node, bit, guide, group, run in self.steps(*observed):
-            for k, slot in enumerate(self._slots(node, guide, group, run)):
-                self.ones[k] += np.bincount(slot, c[rows] * bit, SLOTS)
-                self.zeros[k] += np.bincount(slot, c[rows] * ~bit, SLOTS)
-
-    def inputs(self, node, guide, group, run) -> np.ndarray:
+    def count(self, s: Sums) -> None:
+        for k, slot in enumerate(self._slots(s.both, s.run, s.node)):
+            self.ones[k] += np.bincount(slot, s.one, SLOTS)
+            self.zeros[k] += np.bincount(slot, s.zero, SLOTS)
+
+    def inputs(self, both, run, node) -> np.ndarray:
         """Stretched predictions; a table with few counts leans on the one without context."""
         out = np.ones((INPUTS + 1, len(node)))
         base = None
-        for k, slot in enumerate(self._slots(node, guide, group, run)):
+        for k, slot in enumerate(self._slots(both, run, node)):
             one, zero = self.ones[k, slot].astype(float), self.zeros[k, slot].astype(float)
             p = (one + 0.2) / (one + zero + 0.4) if base is None else (one + PRIOR * base) / (one + zero + PRIOR)
             base = p if base is None else base
@@ -317,9 +372,10 @@ class Mixer:
         low = x.astype(np.int64)
         return low, x - low
 
-    def predict(self, gate, x, guide) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, both, run, node) -> tuple[np.ndarray, np.ndarray]:
         """The mixed stretched prediction, and the refined probability of a one."""
-        z = np.clip(self.weights[gate] @ x, -14, 14)
+        x, guide = self.inputs(both, run, node), both // GROUPS
+        z = np.clip((self.weights[self.gate[node]].T * x).sum(axis=0), -14, 14)
         p = 1 / (1 + np.exp(-z))
         low, part = self._place(z)
         curve = []
@@ -331,48 +387,78 @@ class Mixer:
         refined = np.where(inside, (1 - part) * curve[0] + part * curve[1], p)
         return z, np.clip((p + refined) / 2, 1e-7, 1 - 1e-7)
 
-    def learn(self, observed, c, rounds: int = 3, batch: int = 8192) -> None:
+    def learn(self, s: Sums, rounds: int = 3, batch: int = 8192) -> None:
         """Weights, online over batches, then the refinement of what they predict."""
-        steps = [s for s in self.steps(*observed) if len(s[0])]
+        order = np.argsort(mix((s.node * CONTEXTS + s.both).astype(np.uint64)), kind="stable")
+        order = order[np.argsort(self.gate[s.node[order]], kind="stable")]
+        s = s.where(order)
+        gates = self.gate[s.node]
+        cuts = [0, *(np.flatnonzero(np.diff(gates)) + 1), len(gates)]
         for round_ in range(rounds):
             rate = 0.3 / (1 + round_)
-            for rows, gate, node, bit, guide, group, run in steps:
-                order = np.argsort(mix(rows.astype(np.uint64) + np.uint64(round_)), kind="stable")
-                for at in range(0, len(order), batch):
-                    pick = order[at : at + batch]
-                    x = self.inputs(node[pick], guide[pick], group[pick], run[pick])
-                    w = c[rows[pick]] / c[rows[pick]].sum()
+            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+                for at in range(first, last, batch):
+                    b = s.where(slice(at, min(at + batch, last)))
+                    x, n = self.inputs(b.both, b.run, b.node), b.one + b.zero
+                    gate, total = gates[at], n.sum()
                     p = 1 / (1 + np.exp(-np.clip(self.weights[gate] @ x, -14, 14)))
-                    error = (bit[pick] - p) * w
-                    curve = (x * x) @ (w * p * (1 - p)) + 0.02
-                    self.weights[gate] += rate * (x @ error) / curve
-        for rows, gate, node, bit, guide, group, run in steps:
-            z, _ = self.predict(gate, self.inputs(node, guide, group, run), guide)
+                    curve = (x * x) @ (n / total * p * (1 - p)) + 0.02
+                    self.weights[gate] += rate * (x @ ((b.one - n * p) / total)) / curve
+        for at in range(0, len(gates), 1 << 18):
+            b = s.where(slice(at, at + (1 << 18)))
+            z, _ = self.predict(b.both, b.run, b.node)
             low, part = self._place(z)
-            for at, share in ((low, 1 - part), (low + 1, part)):
-                np.add.at(self.refined, (bit.astype(np.int64), guide, at), c[rows] * share)
-
-    def log10(self, classes, guide, group, run, repeats) -> np.ndarray:
-        total = np.zeros(len(classes))
-        for rows, gate, node, bit, g, group_, run_ in self.steps(classes, guide, group, run, repeats):
-            _, p = self.predict(gate, self.inputs(node, g, group_, run_), g)
-            total[rows] += np.log10(np.where(bit, p, 1 - p))
-        return total
-
-
-def train(code: Code, observed: DataFrame) -> Mixer:
-    """``observed``: (key, c). The number of keys is bounded by classes, guides, groups and runs."""
-    rows = observed.toArrow()
-    key, c = rows["key"].to_numpy(), rows["c"].to_numpy().astype(float)
-    *parts, fold = _split(key)
+            for place, share in ((low, 1 - part), (low + 1, part)):
+                np.add.at(self.refined, (1, b.both // GROUPS, place), b.one * share)
+                np.add.at(self.refined, (0, b.both // GROUPS, place), b.zero * share)
+
+    def table(self) -> Table:
+        """What all tables, weights and refinements together say of every class and every repetition."""
+        both, node = np.divmod(np.arange(CONTEXTS * NODES), NODES)
+        bits = np.empty((2, CONTEXTS * NODES), np.float32)
+        for at in range(0, len(node), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            _, p = self.predict(both[part], np.zeros(len(node[part]), np.int64), node[part])
+            bits[0, part], bits[1, part] = np.log10(1 - p), np.log10(p)
+        bits = bits.reshape(2, CONTEXTS, NODES)
+        classes = np.zeros((len(self.code.lengths), CONTEXTS), np.float32)
+        for depth in range(self.code.nodes.shape[1]):
+            rows = np.flatnonzero(self.code.lengths > depth)
+            classes[rows] += bits[self.code.bits[rows, depth], :, self.code.nodes[rows, depth]]
+        both, run = np.divmod(np.arange(CONTEXTS * 4), 4)
+        _, p = self.predict(both, run, np.full(len(both), REPEAT_NODE))
+        repeats = np.stack([np.log10(1 - p), np.log10(p)], axis=1).reshape(CONTEXTS, 4, 2).astype(np.float32)
+        return Table(classes, repeats)
+
+
+@dataclass
+class Table:
+    """The logarithm of a class after no repetition, and of a repetition or none, in every context."""
+
+    classes: np.ndarray
+    repeats: np.ndarray
+
+    def gain(self, e: Events) -> np.ndarray:
+        both = e.guide * GROUPS + e.group
+        class_ = np.where(e.repeats, 0, self.classes[e.classes, both])
+        return self.repeats[both, e.run, e.repeats.astype(np.int64)] + class_
+
+
+def train(code: Code, sums: DataFrame) -> tuple[Table, Table]:
+    """The table from the folds without the one apart, whose documents trained the weights, and that from all.
+
+    ``sums`` has two rows at most for each node, context and run, so what comes to the driver has a fixed bound.
+    """
+    rows = sums.orderBy("fold", "both", "run", "node").toArrow()
+    fold, *parts = (rows[c].to_numpy() for c in ("fold", "both", "run", "node", "one", "zero"))
+    every, apart = Sums(*(x.astype(np.int64) for x in parts[:3]), *parts[3:]), fold == 1
     mixer = Mixer(code)
-    apart = fold == 1
-    if (~apart).any():
-        mixer.count([p[~apart] for p in parts], c[~apart])
+    mixer.count(every.where(~apart))
     if apart.any():
-        mixer.learn([p[apart] for p in parts], c[apart])
-        mixer.count([p[apart] for p in parts], c[apart])
-    return mixer
+        mixer.learn(every.where(apart))
+    before = mixer.table()
+    mixer.count(every.where(apart))
+    return before, mixer.table()
 
 
 def _tokens(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -399,206 +485,219 @@ def _grams(hashes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return pair, mix(mix(mix(second + np.uint64(2)) + before) + hashes)
 
 
-def _count_grams(batches):
-    """(h, c): counts of pairs and triples, summed as far as a task holds them."""
-    held, rows = [], 0
+def _coded(counts: np.ndarray) -> bytes:
+    """A byte for each count, and eight more for those of 255 and above."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
 
-    def out():
-        h, c = (np.concatenate(x) for x in zip(*held, strict=True))
-        names, inverse = np.unique(h, return_inverse=True)
-        c = np.bincount(inverse, c).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(c)], ["h", "c"])
 
-    for batch in batches:
-        for _, texts in chunks(batch):
-            _, hashes, start = _tokens(words(texts))
-            held.append(np.unique(np.concatenate(_grams(hashes, start)), return_counts=True))
-            rows += len(held[-1][0])
-            if rows > FLUSH:
-                yield out()
-                held, rows = [], 0
-    if held:
-        yield out()
+def _decoded(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<i8", offset=n)
+    return counts
 
 
-def _per_text(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct hashes of each text, in order: the places of one of each, how often it is there, and the
-    number of each of ``h`` among them."""
-    order = np.lexsort((h, owner))
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-    number = np.empty(len(h), np.int64)
-    number[order] = np.cumsum(fresh) - 1
-    firsts = np.flatnonzero(fresh)
-    return order[firsts], np.diff(np.append(firsts, len(h))), number
+def _low(ids: np.ndarray) -> bytes:
+    return ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
 
 
-@dataclass
-class Asked:
-    """What the texts of a chunk ask for: their words that are not common, pairs and triples, each once a text."""
+def _from_low(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // GRAM_BYTES, 8), np.uint8)
+    out[:, :GRAM_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, GRAM_BYTES)
+    return out.reshape(-1).view("<u8")
 
-    owner: np.ndarray  # of what is asked
-    place: np.ndarray  # among those of its text
-    h: np.ndarray
-    own: np.ndarray  # how often a training text adds to the count itself; 0 for words
-    offsets: np.ndarray  # of each text's
-    word: np.ndarray  # numbers of the words that are not common, and of every token's pair and triple
-    pair: np.ndarray
-    triple: np.ndarray
 
+class Chunk:
+    """The tokens of a chunk of texts, and what it asks for: each word that is not common, each pair and triple once.
 
-def _asked(rare, owner, hashes, start, trained) -> Asked:
-    pair, triple = _grams(hashes, start)
-    h = np.concatenate([hashes[rare], pair, triple])
-    owners = np.concatenate([owner[rare], owner, owner])
-    one, times, number = _per_text(owners, h)
-    k, n = int(rare.sum()), len(hashes)
-    of = owners[one]
-    offsets = np.searchsorted(of, np.arange(len(trained) + 1))
-    own = np.where((one >= k) & trained[of], times, 0)
-    return Asked(of, np.arange(len(of)) - offsets[of], h[one], own, offsets, number[:k], number[k : k + n], number[k + n :])
+    Rows are put in the order of their ids and text hashes, so that the chunk asks the same whenever it is made anew.
+    Hashes go to buckets by their leading ``bits``; words keep all 64 bits, pairs and triples 8 * GRAM_BYTES below these.
+    """
 
+    def __init__(self, code: Code, rows: pa.Table, bits: int, table: Table | None = None):
+        self.rows = rows.sort_by([("doc_id", "ascending"), ("th", "ascending")]).combine_chunks()
+        self.code, self.bits, self.n = code, bits, rows.num_rows
+        held, before = [], 0
+        for batch in self.rows.to_batches():
+            for part, texts in chunks(batch):
+                found = words(texts)
+                owner, hashes, start = _tokens(found)
+                own = [owner + before, hashes, *_grams(hashes, start), start]
+                before += part.num_rows
+                if table is not None:
+                    e = events(code, found)
+                    shared = (e.classes >= SINGLES) & ~e.repeats
+                    own += [table.gain(e) - np.where(shared, code.log_class[e.classes], 0), shared]
+                held.append(own)
+        self.owner, self.hashes, pair, triple, self.start, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+        self.logs, self.shared = rest or (None, None)
+        self.at = code.common.find(self.hashes)
+        self.rare = self.at == code.common.n
+        self.trained = self.rows["fold"].to_numpy() != 0
+        self.words, self.word = np.unique(self.hashes[self.rare], return_inverse=True)
+        ids = np.concatenate([pair, triple]) >> np.uint64(64 - bits - 8 * GRAM_BYTES)
+        self.grams, self.gram = np.unique(ids, return_inverse=True)
+        buckets = np.arange(1, 1 << bits).astype(np.uint64)
+        self.word_cuts = [0, *np.searchsorted(self.words >> np.uint64(64 - bits), buckets), len(self.words)]
+        self.gram_cuts = [0, *np.searchsorted(self.grams >> np.uint64(8 * GRAM_BYTES), buckets), len(self.grams)]
+
+    def buckets(self):
+        """(bucket, its words, its pairs and triples) where there are any."""
+        for k in range(1 << self.bits):
+            word = slice(self.word_cuts[k], self.word_cuts[k + 1])
+            gram = slice(self.gram_cuts[k], self.gram_cuts[k + 1])
+            if word.start < word.stop or gram.start < gram.stop:
+                yield k, word, gram
+
+    def questions(self):
+        """(bucket, words, their counts in training texts, pairs and triples, their counts)."""
+        trained = self.trained[self.owner]
+        word_c = np.bincount(self.word, trained[self.rare], len(self.words)).astype(np.int64)
+        gram_c = np.bincount(self.gram, np.concatenate([trained, trained]), len(self.grams)).astype(np.int64)
+        for k, word, gram in self.buckets():
+            yield k, self.words[word].tobytes(), _coded(word_c[word]), _low(self.grams[gram]), _coded(gram_c[gram])
+
+    def answer(self, replies: pa.Table) -> None:
+        """Takes the counts of all training texts from ``replies`` (bucket, words, grams), less each text's own."""
+        found = {r["bucket"]: r for r in replies.to_pylist()}
+        word_c, gram_c = np.zeros(len(self.words), np.int64), np.zeros(len(self.grams), np.int64)
+        for k, word, gram in self.buckets():
+            word_c[word] = _decoded(found[k]["words"], word.stop - word.start)
+            gram_c[gram] = _decoded(found[k]["grams"], gram.stop - gram.start)
+        trained = self.trained[self.owner]
+        self.count = self.code.count[self.at].astype(np.int64)
+        self.count[self.rare] = word_c[self.word]
+        self.others = self.count - np.where(trained, self._own(self.hashes), 0)
+        n = len(self.hashes)
+        self.pair, self.triple = (
+            gram_c[g] - np.where(trained, self._own(g.astype(np.uint64)), 0) for g in (self.gram[:n], self.gram[n:])
+        )
+        ends = np.append(np.flatnonzero(self.start)[1:], n) - 1
+        texts_seen = self.others[ends][self.owner]  # as often as there are ends
+        self.one = np.where(self.start, texts_seen, np.concatenate([[0], self.others[:-1]]))
+        # Every pair but one that ends a text is the context of one triple.
+        self.two = np.where(self.start, texts_seen, np.concatenate([[0], self.pair[:-1]]))
+        self.level = _level(self.one) * LEVELS + _level(self.two)
 
-def _trained(part) -> np.ndarray:
-    return part["fold"].to_numpy(zero_copy_only=False) != 0
+    def _own(self, names: np.ndarray) -> np.ndarray:
+        """How often a text has each of its tokens' names."""
+        _, inverse, c = np.unique(mix(names + mix(self.owner.astype(np.uint64))), return_inverse=True, return_counts=True)
+        return c[inverse]
 
+    def base(self, counts) -> np.ndarray:
+        """Predictions by the tables, the words' shares of their classes by ``counts``."""
+        return 10 ** (self.logs + np.where(self.shared, np.log10(counts + SMOOTH), 0))
 
-def _predict(model):
-    """Per text the logarithm of every token's prediction by the tables, without the word's share of its class."""
+    def sums(self, values) -> np.ndarray:
+        return np.bincount(self.owner, values, minlength=self.n)
 
-    def run(batches):
-        mixer = model.value
-        code = mixer.code
-        for batch in batches:
-            for part, texts in chunks(batch):
-                found = words(texts)
-                e = events(code, found)
-                key, inverse = np.unique(_key(e, 0), return_inverse=True)
-                classes, guide, group, run_, repeats, _ = _split(key)
-                gain = mixer.log10(classes, guide, group, run_, repeats)[inverse]
-                gain -= np.where((e.classes >= SINGLES) & ~e.repeats, code.log_class[e.classes], 0)
-                offsets = pa.array((found.first + np.arange(found.rows + 1)).astype(np.int32))
-                logs = pa.ListArray.from_arrays(offsets, pa.array(gain.astype(np.float32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, logs], [*part.schema.names, "logs"])
 
-    return run
+_CHUNK = ["apart", "chunk"]
 
 
-def _ask(known):
-    def run(batches):
-        common = known.value.common
-        for batch in batches:
-            for part, texts in chunks(batch):
-                owner, hashes, start = _tokens(words(texts))
-                a = _asked(common.find(hashes) == common.n, owner, hashes, start, _trained(part))
-                rid = part["rid"].to_numpy(zero_copy_only=False)[a.owner]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid), pa.array(a.place.astype(np.int32)), pa.array(a.own.astype(np.int32)), pa.array(a.h.view(np.int64))],
-                    ["rid", "place", "own", "h"],
-                )
+def _ask(known, bits: int):
+    """A row per bucket with what the chunk asks of it."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        asked = list(Chunk(known.value, t, bits).questions())
+        bucket, *parts = zip(*asked, strict=True)
+        n = len(asked)
+        return pa.table(
+            {
+                "bucket": pa.array(bucket, pa.int32()),
+                "apart": pa.array([key[0].as_py()] * n, pa.bool_()),
+                "chunk": pa.array([key[1].as_py()] * n, pa.int32()),
+                **{c: pa.array(x, pa.binary()) for c, x in zip(("words", "word_c", "grams", "gram_c"), parts, strict=True)},
+            }
+        )
 
     return run
 
 
+def _totals(names: list[np.ndarray], counts: list[bytes]) -> list[bytes]:
+    """The counts of equal names summed, for each list in its own order."""
+    sizes = [len(x) for x in names]
+    given = np.concatenate([_decoded(c, n) for c, n in zip(counts, sizes, strict=True)])
+    _, inverse = np.unique(np.concatenate(names), return_inverse=True)
+    total = np.bincount(inverse, given).astype(np.int64)[inverse]
+    return [_coded(x) for x in np.split(total, np.cumsum(sizes)[:-1])]
+
+
+def _reply(t: pa.Table) -> pa.Table:
+    """A bucket's questions are its counts: it sums them and sends each chunk the sums in the order of its question."""
+    parts = {c: t[c].to_pylist() for c in ("words", "word_c", "grams", "gram_c")}
+    words_ = _totals([np.frombuffer(x, np.uint64) for x in parts["words"]], parts["word_c"])
+    grams = _totals([_from_low(x) for x in parts["grams"]], parts["gram_c"])
+    out = t.select(["apart", "chunk", "bucket"])
+    return out.append_column("words", pa.array(words_, pa.binary())).append_column("grams", pa.array(grams, pa.binary()))
+
+
 def _level(n: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), LEVELS - 1)
+    return np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64) + (n > 0), LEVELS - 1)
 
 
-def _mixed(p, c, n, gates) -> np.ndarray:
+def _mixed(p, c, n, gate) -> np.ndarray:
     """Predictions mixed with the shares c / n; a context that was not seen leaves them."""
-    gate = np.where(n > 0, gates[_level(n)], 0)
+    gate = np.where(n > 0, gate, 0)
     return (1 - gate) * p + gate * c / np.maximum(n, 1)
 
 
-class Answers:
-    """The counts of a chunk of texts: of its tokens, and of their pairs and triples and these contexts."""
-
-    def __init__(self, code: Code, part, texts):
-        found = words(texts)
-        e = events(code, found)
-        owner, hashes, start = _tokens(found)
-        trained = _trained(part)
-        rare = e.at == code.common.n
-        a = _asked(rare, owner, hashes, start, trained)
-        count = np.zeros(len(a.h))
-        answers = part["answers"]
-        lengths = np.nan_to_num(answers.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-        flat = answers.flatten()
-        place, c = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-        count[np.repeat(a.offsets[:-1], lengths) + place] = c
-        self.rows, self.owner = found.rows, owner
-        self.words = code.count[e.at]
-        self.words[rare] = count[a.word]
-        _, times, number = _per_text(owner, hashes)
-        self.others = np.maximum(self.words - np.where(trained[owner], times[number], 0), 0)
-        self.shared = (e.classes >= SINGLES) & ~e.repeats
-        self.logs = part["logs"].flatten().to_numpy(zero_copy_only=False).astype(float)
-        texts_seen = self.others[found.first[1:] + np.arange(found.rows)][owner]  # as often as there are ends
-        self.pair, self.triple = count[a.pair], count[a.triple]
-        self.one = np.where(start, texts_seen, np.concatenate([[0], self.others[:-1]]))
-        # Every pair but one that ends a text is the context of one triple.
-        self.two = np.where(start, texts_seen, np.concatenate([[0], self.pair[:-1]]))
+def _answered(docs: DataFrame, replies: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` of every chunk with its replies."""
+    return docs.groupBy(*_CHUNK).cogroup(replies.groupBy(*_CHUNK)).applyInArrow(lambda key, t, r: run(t, r), schema)
 
-    def base(self, counts) -> np.ndarray:
-        """Predictions by the tables, the words' shares of their classes by ``counts``."""
-        return 10 ** (self.logs + np.where(self.shared, np.log10(counts + SMOOTH), 0))
-
-    def sums(self, values) -> np.ndarray:
-        return np.bincount(self.owner, values, minlength=self.rows)
 
+def _ratios(model, bits: int, gates):
+    """(bin, c): how often a share c / n was how much larger than the prediction so far, by levels."""
 
-def _ratios(known, gates):
-    """(bin, c): how often a share c / n was how much larger than the prediction so far, by level."""
-
-    def run(batches):
-        for batch in batches:
-            for part, texts in chunks(batch):
-                a = Answers(known.value, part, texts)
-                p, c, n = a.base(a.others), a.pair, a.one
-                if gates is not None:
-                    p, c, n = _mixed(p, c, n, gates), a.triple, a.two
-                ratio = np.log2(np.maximum(c, 1) / np.maximum(n, 1) / p)
-                bins = np.where(c > 0, np.clip(np.rint(2 * ratio) + BINS // 2, 1, BINS - 1), 0).astype(np.int64)
-                names, counts = np.unique((_level(n) * BINS + bins)[n > 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], ["bin", "c"])
+    def run(t: pa.Table, replies: pa.Table) -> pa.Table:
+        code, apart, _ = model.value
+        a = Chunk(code, t, bits, apart)
+        a.answer(replies)
+        p, c, n = a.base(a.others), a.pair, a.one
+        if gates is not None:
+            p, c, n = _mixed(p, c, n, gates[a.level]), a.triple, a.two
+        ratio = np.log2(np.maximum(c, 1) / np.maximum(n, 1) / p)
+        bins = np.where(c > 0, np.clip(np.rint(2 * ratio) + BINS // 2, 1, BINS - 1), 0).astype(np.int64)
+        names, counts = np.unique((a.level * BINS + bins)[n > 0], return_counts=True)
+        return pa.table({"bin": pa.array(names, pa.int64()), "c": pa.array(counts, pa.int64())})
 
     return run
 
 
-def _gates(answered: DataFrame, known, gates=None) -> np.ndarray:
-    """The likeliest share of the pairs, or with their ``gates`` of the triples, for each level."""
-    found = answered.where(F.col("fold") == MIXER_FOLD).mapInArrow(_ratios(known, gates), "bin bigint, c bigint")
-    held = np.zeros(LEVELS * BINS)
-    for r in found.groupBy("bin").agg(F.sum("c").alias("c")).collect():  # LEVELS * BINS at most
-        held[r["bin"]] = r["c"]
-    held = held.reshape(LEVELS, BINS)
+def likeliest_shares(held: np.ndarray) -> np.ndarray:
+    """For each level the share that makes its tokens likeliest; ``held`` counts them by level and ratio."""
+    held = held.reshape(LEVELS * LEVELS, BINS)
     ratio = 2 ** ((np.arange(BINS) - BINS // 2) / 2)
     ratio[0] = 0
-    share, seen = np.full((LEVELS, 1), 0.5), held.sum(axis=1, keepdims=True)
+    share, seen = np.full((len(held), 1), 0.5), held.sum(axis=1, keepdims=True)
     for _ in range(200):
         share = (held * (share * ratio / (share * ratio + 1 - share))).sum(axis=1, keepdims=True) / np.maximum(seen, 1)
         share = np.clip(share, 0, 0.999)
     return share[:, 0]
 
 
-def _score(known, pairs, triples):
-    def run(batches):
-        for batch in batches:
-            for part, texts in chunks(batch):
-                a = Answers(known.value, part, texts)
-                p = _mixed(_mixed(a.base(a.words), a.pair, a.one, pairs), a.triple, a.two, triples)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        part["fold"],
-                        part["n_bytes"],
-                        pa.array(a.sums(np.ones(len(a.owner))).astype(np.int64)),
-                        pa.array(a.sums(a.words > 0).astype(np.int64)),
-                        pa.array(a.sums(np.log10(a.words + SMOOTH))),
-                        pa.array(a.sums(np.log10(p))),
-                    ],
-                    ["doc_id", "fold", "n_bytes", "n_tokens", "n_known", "base", "score"],
-                )
+def _gates(docs: DataFrame, replies: DataFrame, model, bits: int, gates=None) -> np.ndarray:
+    """The likeliest share of the pairs, or with their ``gates`` of the triples, for each level."""
+    only = F.col("apart")
+    found = _answered(docs.where(only), replies.where(only), _ratios(model, bits, gates), "bin bigint, c bigint")
+    held = np.zeros(LEVELS * LEVELS * BINS)
+    for r in found.groupBy("bin").agg(F.sum("c").alias("c")).collect():  # LEVELS * LEVELS * BINS at most
+        held[r["bin"]] = r["c"]
+    return likeliest_shares(held)
+
+
+def _score(model, bits: int, pairs, triples):
+    def run(t: pa.Table, replies: pa.Table) -> pa.Table:
+        code, _, table = model.value
+        a = Chunk(code, t, bits, table)
+        a.answer(replies)
+        p = _mixed(a.base(a.count), a.pair, a.one, pairs[a.level])
+        p = _mixed(p, a.triple, a.two, triples[a.level])
+        return a.rows.select(["doc_id", "fold", "n_bytes"]).add_column(
+            3, "n_tokens", pa.array(a.sums(np.ones(len(a.owner))).astype(np.int64))
+        ).add_column(4, "n_known", pa.array(a.sums(a.count > 0).astype(np.int64))).add_column(
+            5, "base", pa.array(a.sums(np.log10(a.count + SMOOTH)))
+        ).add_column(6, "score", pa.array(a.sums(np.log10(p))))
 
     return run
 
@@ -608,39 +707,45 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     A null or empty text is one end. Rows stay rows, whatever their ids; a null id counts as the empty text
     and is held out. Without training rows every token is unknown. Extra columns are not read; an empty
-    table gives no rows.
+    table gives no rows. Texts are dealt to chunks by id and text, so only rows that are equal in both share one
+    in any case.
     """
     spark = docs.sparkSession
     ship(spark)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     fold = (F.crc32(id_text.cast("binary")) % FOLDS).cast("int").alias("fold")
-    slim = docs.select("doc_id", fold, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    slim = docs.select("doc_id", fold, n_bytes, F.xxhash64("text").alias("th"), "text")
     training = slim.where("fold != 0").select("fold", "text")
     counted = training.select("text").mapInArrow(_vocabulary, "h bigint, shape int, c bigint")
     vocabulary = counted.groupBy("h").agg(F.min("shape").alias("shape"), F.sum("c").alias("c"))
-    vocabulary = materialise(vocabulary, "vocabulary")
-    code = make_code(vocabulary)
+    code = make_code(materialise(vocabulary, "vocabulary"))
     known = spark.sparkContext.broadcast(code)  # COMMON words and the code: a fixed size
     observed = training.mapInArrow(_observations(known), "key bigint, c bigint")
-    observed = materialise(observed.groupBy("key").agg(F.sum("c").alias("c")), "observed")
-    model = spark.sparkContext.broadcast(train(code, observed))  # SLOTS counts per table
-    kind = dict(docs.dtypes)["doc_id"]
-    plain = f"doc_id {kind}, fold int, n_bytes bigint"
-    rows = slim.select(F.monotonically_increasing_id().alias("rid"), "*").mapInArrow(
-        _predict(model), f"rid bigint, {plain}, text string, logs array<float>"
+    observed = observed.groupBy("key").agg(F.sum("c").alias("c"))
+    context = F.pmod(F.shiftright("key", 4), F.lit(CONTEXTS)).cast("int").alias("both")
+    sums = observed.groupBy(context).applyInArrow(_expanded(known), _SUMS)
+    model = spark.sparkContext.broadcast((code, *train(code, sums)))  # a number per class and context
+
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    tokens = code.tokens * FOLDS // (FOLDS - 1) + size.n
+    many = max(1, -(-size.b // CHUNK_TEXT), -(-tokens // CHUNK_TOKENS))
+    bits = min(24, max(1, int(2 * tokens // BUCKET).bit_length()))
+    apart = (F.col("fold") == MIXER_FOLD).alias("apart")
+    number = F.pmod(F.xxhash64("doc_id", "th"), F.lit(many)).cast("int").alias("chunk")
+    dealt = slim.select("*", apart, number)
+    asked = dealt.groupBy(*_CHUNK).applyInArrow(
+        _ask(known, bits), "bucket int, apart boolean, chunk int, words binary, word_c binary, grams binary, gram_c binary"
     )
-    rows = materialise(rows, "predictions")
-    grams = training.select("text").mapInArrow(_count_grams, "h bigint, c bigint")
-    counts = vocabulary.select("h", "c").unionByName(grams.groupBy("h").agg(F.sum("c").alias("c")))
-    asked = rows.select("rid", "fold", "text").mapInArrow(_ask(known), "rid bigint, place int, own int, h bigint")
-    found = split_join(asked, counts, ["h"], "inner").where("c > own")
-    found = found.groupBy("rid").agg(F.collect_list(F.struct("place", (F.col("c") - F.col("own")).alias("c"))).alias("answers"))
-    answered = materialise(rows.join(found, "rid", "left"), "answers")
-    pairs = _gates(answered, known)
-    triples = _gates(answered, known, pairs)
-    out = answered.mapInArrow(
-        _score(known, pairs, triples), f"{plain}, n_tokens bigint, n_known bigint, base double, score double"
+    replies = asked.groupBy("bucket").applyInArrow(
+        _reply, "apart boolean, chunk int, bucket int, words binary, grams binary"
     )
+    replies = materialise(replies, "replies")
+    pairs = _gates(dealt, replies, model, bits)
+    triples = _gates(dealt, replies, model, bits, pairs)
+    kind = dict(docs.dtypes)["doc_id"]
+    schema = f"doc_id {kind}, fold int, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double"
+    out = _answered(dealt, replies, _score(model, bits, pairs, triples), schema)
     whole = float(np.log10(code.tokens + SMOOTH * (code.distinct + 1)))
     score = F.col("score")
     return out.select(
