@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when the query has ended, and not at some garbage collection.
+
+    For steps that write or collect what they shuffled: nothing reads these files again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def words_of(text) -> F.Column:
     """The words of a text as an array, an empty one for null."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{SPACES}]+")

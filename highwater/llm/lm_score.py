@@ -15,14 +15,14 @@ before it, and the two before it, counted for all such pairs and triples without
 gate by how often both contexts were seen. A training text is scored without its own pairs and triples. The sum over
 all tokens is the text's total, also given in bits per byte.
 
-Counts come from all training documents. The bits of the tables are expanded and summed on Spark, context by context; of
-them only sums reach the driver, a bounded number. All words that are not COMMON, pairs and triples are counted and
-answered in one exchange: texts are dealt to chunks, a chunk sends every bucket of hashes one sorted, packed list of those
-it asks for with its own training counts, the bucket adds the lists up and sends each back its totals, mostly a
-byte each. What is broadcast (COMMON words, a prediction per class and context) has a fixed size. The weights, the refinement
-and the gates are trained on a tenth of the training documents, with tables, pairs and triples that have not
-seen them. A pair or triple is known by 40 bits and its bucket's number, so of the some 4 million in a bucket one in
-100,000 meets another; words have 64.
+Counts come from all training documents. All words, pairs and triples are counted and answered in one exchange:
+texts are dealt to chunks, a chunk sends every bucket of hashes one sorted, packed list of those it asks for with its
+own training counts, the bucket adds the lists up (that is the vocabulary and the counts) and sends each back its totals,
+mostly a byte each. The bits of the tables are expanded and summed on Spark, context by context; of them only sums
+reach the driver, a bounded number. What is broadcast (SINGLES words, a prediction per class and context) has a
+fixed size. The weights, the refinement and the gates are trained on a tenth of the training documents, with tables, pairs
+and triples that have not seen them. Pairs and triples are known by as many bits as leave one in COLLISION that is taken
+for another; words have 64.
 """
 
 from __future__ import annotations
@@ -36,12 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.llm.common import ship
+from highwater.llm.common import ship, shuffles_removed
 from highwater.llm.words import Index, Words, chunks, mix, words
 
 FOLDS = 10
 MIXER_FOLD = 1
-COMMON = 65_536  # words whose counts every task knows
 SINGLES = 2_047  # words that are classes of their own
 SHAPES = 2_048
 GUIDES = 16
@@ -56,10 +55,11 @@ FLUSH = 2_000_000
 START = np.uint64(0x3C6EF372FE94F82B)  # stands before a text
 LEVELS = 32  # gates of pairs and of triples, by the logarithms of the counts of both contexts
 BINS = 128
-#: What a chunk has of text and of tokens, about, and a bucket of hashes.
-CHUNK_TEXT, CHUNK_TOKENS = 8 << 20, 1_500_000
-BUCKET = 4_000_000
-GRAM_BYTES = 5  # of a pair or triple in its bucket
+#: Bytes of a chunk's texts and hashes of a bucket, about.
+CHUNK = 6 << 20
+BUCKET = 2_000_000
+#: Of so many different pairs and triples one may be taken for another.
+COLLISION = 10_000
 
 
 def shapes(found: Words) -> np.ndarray:
@@ -71,44 +71,12 @@ def shapes(found: Words) -> np.ndarray:
     return (mix(key) % np.uint64(SHAPES)).astype(np.int64)
 
 
-def _vocabulary(batches):
-    """(h, shape, c): counts of words and ends, summed as far as a task holds them."""
-    held, rows = [], 0
-
-    def summed():
-        h, shape, c = (np.concatenate(x) for x in zip(*held, strict=True))
-        names, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        return names, shape[first], np.bincount(inverse, c).astype(np.int64)
-
-    def out(h, shape, c):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(h.astype(np.int64)), pa.array(shape.astype(np.int32)), pa.array(c)], ["h", "shape", "c"]
-        )
-
-    for batch in batches:
-        for _, texts in chunks(batch):
-            found = words(texts)
-            h = np.append(found.hashes, END)
-            c = np.append(np.ones(len(found.hashes)), found.rows)
-            held.append((h, np.append(shapes(found), 0), c))
-            rows += len(h)
-            if rows > FLUSH:
-                held[:] = [summed()]
-                rows = len(held[0][0])
-                if rows > FLUSH // 2:
-                    yield out(*held[0])
-                    held, rows = [], 0
-    if held:
-        yield out(*summed())
-
-
 @dataclass
 class Code:
     """Classes of tokens and their Huffman code."""
 
-    common: Index  # of the COMMON words
-    count: np.ndarray  # their counts, and 0 for others
-    single: np.ndarray  # their class, or -1
+    singles: Index
+    single: np.ndarray  # the class of each, and -1 for all other words
     nodes: np.ndarray  # classes x DEPTH: the node of each bit
     bits: np.ndarray
     lengths: np.ndarray
@@ -116,11 +84,9 @@ class Code:
     tokens: int
     distinct: int
 
-    def classes(self, hashes: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and place among the common words of each token."""
-        at = self.common.find(hashes)
-        single = self.single[at]
-        return np.where(single >= 0, single, SINGLES + shape), at
+    def classes(self, hashes: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        single = self.single[self.singles.find(hashes)]
+        return np.where(single >= 0, single, SINGLES + shape)
 
 
 def _huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,31 +114,24 @@ def _huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def make_code(vocabulary: DataFrame) -> Code:
+    """From (h, shape, c) of every word; an end is always a class of its own."""
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = vocabulary.orderBy(F.desc("c"), "h").limit(COMMON).toArrow().to_pandas()
-    top = top.sort_values(["c", "h"], ascending=[False, True]).reset_index(drop=True)
-    names = top.h.to_numpy().astype(np.int64).view(np.uint64)
-    singles = names[:SINGLES]
-    if END not in singles:
-        singles = np.append(singles[: SINGLES - 1], END)
-    order = np.argsort(names)
-    known = Index(names[order])
-    single = np.full(len(names) + 1, -1)
-    places = known.find(singles)
-    single[places[places < len(names)]] = np.flatnonzero(places < len(names))
-    count = np.append(top.c.to_numpy()[order], 0).astype(np.float64)
-    rest = vocabulary.where(~F.col("h").isin([int(x) for x in singles.view(np.int64)]))
-    rest = rest.groupBy("shape").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
-    size = np.zeros(SINGLES + SHAPES)
-    kinds = np.zeros(SINGLES + SHAPES)
-    own = places[places < len(names)]
-    size[np.flatnonzero(places < len(names))] = count[own]
-    for r in rest:
+    end = int(END.astype(np.int64))
+    top = vocabulary.where(F.col("h") != end).orderBy(F.desc("c"), "h").limit(SINGLES - 1)
+    ends = vocabulary.where(F.col("h") == end).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first().c
+    rows = sorted([(-r.c, r.h) for r in top.collect()] + [(-ends, end)])
+    names = np.array([h for _, h in rows], np.int64)
+    size, kinds = np.zeros(SINGLES + SHAPES), np.zeros(SINGLES + SHAPES)
+    size[: len(rows)] = [-c for c, _ in rows]
+    rest = vocabulary.where(~F.col("h").isin([int(x) for x in names]))
+    for r in rest.groupBy("shape").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
         size[SINGLES + r["shape"]], kinds[SINGLES + r["shape"]] = r.c, r.v
+    order = np.argsort(names.view(np.uint64))
     nodes, bits, lengths = _huffman(np.maximum(size, 0.5) * 2)
     log_class = np.log10(size + SMOOTH * (kinds + 1))
     log_class[:SINGLES] = 0
-    return Code(known, count, single, nodes, bits, lengths, log_class, int(total), int(distinct))
+    known = Index(names.view(np.uint64)[order])
+    return Code(known, np.append(order, -1), nodes, bits, lengths, log_class, int(total), int(distinct))
 
 
 @dataclass
@@ -180,8 +139,6 @@ class Events:
     """What the tokens of a chunk (with ends) are to the model, one entry per token."""
 
     owner: np.ndarray
-    hashes: np.ndarray
-    at: np.ndarray  # among the common words
     classes: np.ndarray
     guide: np.ndarray
     group: np.ndarray
@@ -198,7 +155,7 @@ def events(code: Code, found: Words) -> Events:
     hashes, shape = np.full(n, END), np.zeros(n, np.int64)
     hashes[~is_end], shape[~is_end] = found.hashes, shapes(found)
     owner = np.repeat(np.arange(rows), found.counts + 1)
-    classes, at = code.classes(hashes, shape)
+    classes = code.classes(hashes, shape)
     start = np.ones(n, bool)
     start[1:] = is_end[:-1]
     # The last guide word before each token of its text: its place, carried on.
@@ -217,7 +174,7 @@ def events(code: Code, found: Words) -> Events:
     length = position - breaks  # repetitions up to and with this token
     run = np.minimum(np.concatenate([[0], length[:-1]]), 3)
     run[start] = 0
-    return Events(owner, hashes, at, classes, guide, group, run, same)
+    return Events(owner, classes, guide, group, run, same)
 
 
 def _key(e: Events, fold) -> np.ndarray:
@@ -236,7 +193,7 @@ def _split(key: np.ndarray):
 
 
 def _observations(code):
-    """(key, c) of (fold, text), summed as far as a task holds them."""
+    """(key, c) of (grp, text), summed as far as a task holds them."""
 
     def run(batches):
         held, rows = [], 0
@@ -251,7 +208,7 @@ def _observations(code):
         for batch in batches:
             for part, texts in chunks(batch):
                 e = events(code.value, words(texts))
-                fold = (part.column(0).to_numpy(zero_copy_only=False) == MIXER_FOLD).astype(np.int64)
+                fold = (part.column(0).to_numpy(zero_copy_only=False) == APART).astype(np.int64)
                 keys, c = np.unique(_key(e, fold[e.owner]), return_counts=True)
                 held.append((keys, c))
                 rows += len(keys)
@@ -496,81 +453,123 @@ def _decoded(data: bytes, n: int) -> np.ndarray:
     return counts
 
 
-def _low(ids: np.ndarray) -> bytes:
-    return ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
+@dataclass
+class Names:
+    """How pairs and triples are known: by the leading ``bits`` of their hashes, the first ``lead`` of which are the
+    bucket's number. A chunk's are in order, so their gaps are sent, ``width`` bytes each; larger ones have a list."""
 
+    lead: int
+    bits: int
+    width: int
 
-def _from_low(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // GRAM_BYTES, 8), np.uint8)
-    out[:, :GRAM_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, GRAM_BYTES)
-    return out.reshape(-1).view("<u8")
+    @staticmethod
+    def of(tokens: int) -> Names:
+        """For a corpus of about so many tokens. Gaps of a chunk's mostly leave three bits free."""
+        in_chunk = int(2 * CHUNK // 6).bit_length()
+        width = 3
+        while 2 * tokens * COLLISION > 1 << (in_chunk + 8 * width - 3) and in_chunk + 8 * width - 3 < 58:
+            width += 1
+        lead = min(24, max(1, (2 * tokens // BUCKET).bit_length()))
+        return Names(lead, in_chunk + 8 * width - 3, width)
+
+    def cut(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(64 - self.bits)
+
+    def bounds(self, ids: np.ndarray, bits: int) -> np.ndarray:
+        """Where each bucket begins among sorted names of so many bits, and their end."""
+        buckets = np.arange(1, 1 << self.lead).astype(np.uint64)
+        return np.concatenate([[0], np.searchsorted(ids >> np.uint64(bits - self.lead), buckets), [len(ids)]])
+
+    def base(self, bucket: int) -> np.uint64:
+        return np.uint64(bucket << (self.bits - self.lead))
+
+    def packed(self, ids: np.ndarray, bucket: int) -> bytes:
+        gaps = np.diff(ids, prepend=self.base(bucket))
+        over = np.flatnonzero(gaps >> np.uint64(8 * self.width))
+        low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : self.width]
+        far = (gaps[over] >> np.uint64(8 * self.width)).astype("<u8")
+        return np.int64(len(over)).tobytes() + over.astype("<i8").tobytes() + far.tobytes() + low.tobytes()
+
+    def unpacked(self, data: bytes, bucket: int) -> np.ndarray:
+        n = int(np.frombuffer(data, "<i8", 1)[0])
+        over, far = np.frombuffer(data, "<i8", n, 8), np.frombuffer(data, "<u8", n, 8 + 8 * n)
+        low = np.frombuffer(data, np.uint8, offset=8 + 16 * n).reshape(-1, self.width)
+        gaps = np.zeros((len(low), 8), np.uint8)
+        gaps[:, : self.width] = low
+        gaps = gaps.reshape(-1).view("<u8")
+        gaps[over] += far << np.uint64(8 * self.width)
+        return np.cumsum(gaps) + self.base(bucket)
+
+
+HELD_OUT, APART, OTHERS = 0, 1, 2  # groups of chunks
 
 
 class Chunk:
-    """The tokens of a chunk of texts, and what it asks for: each word that is not common, each pair and triple once.
-
-    Rows are put in the order of their ids and text hashes, so that the chunk asks the same whenever it is made anew.
-    Hashes go to buckets by their leading ``bits``; words keep all 64 bits, pairs and triples 8 * GRAM_BYTES below these.
-    """
+    """The tokens of a chunk of texts: all of one group, in the order of their ids and text hashes, so that the chunk
+    asks the same whenever it is made anew."""
 
-    def __init__(self, code: Code, rows: pa.Table, bits: int, table: Table | None = None):
+    def __init__(self, rows: pa.Table, names: Names, code: Code | None = None, table: Table | None = None):
         self.rows = rows.sort_by([("doc_id", "ascending"), ("th", "ascending")]).combine_chunks()
-        self.code, self.bits, self.n = code, bits, rows.num_rows
+        self.names, self.n, self.trained = names, rows.num_rows, rows["grp"][0].as_py() != HELD_OUT
         held, before = [], 0
         for batch in self.rows.to_batches():
             for part, texts in chunks(batch):
                 found = words(texts)
                 owner, hashes, start = _tokens(found)
-                own = [owner + before, hashes, *_grams(hashes, start), start]
+                pair, triple = _grams(hashes, start)
+                own = [owner + before, hashes, names.cut(pair), names.cut(triple), start]
                 before += part.num_rows
-                if table is not None:
+                if table is None:
+                    shape = np.zeros(len(hashes), np.uint16)
+                    shape[hashes != END] = shapes(found)[found.hashes != END]
+                    own.append(shape)
+                else:
                     e = events(code, found)
                     shared = (e.classes >= SINGLES) & ~e.repeats
                     own += [table.gain(e) - np.where(shared, code.log_class[e.classes], 0), shared]
                 held.append(own)
-        self.owner, self.hashes, pair, triple, self.start, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
-        self.logs, self.shared = rest or (None, None)
-        self.at = code.common.find(self.hashes)
-        self.rare = self.at == code.common.n
-        self.trained = self.rows["fold"].to_numpy() != 0
-        self.words, self.word = np.unique(self.hashes[self.rare], return_inverse=True)
-        ids = np.concatenate([pair, triple]) >> np.uint64(64 - bits - 8 * GRAM_BYTES)
-        self.grams, self.gram = np.unique(ids, return_inverse=True)
-        buckets = np.arange(1, 1 << bits).astype(np.uint64)
-        self.word_cuts = [0, *np.searchsorted(self.words >> np.uint64(64 - bits), buckets), len(self.words)]
-        self.gram_cuts = [0, *np.searchsorted(self.grams >> np.uint64(8 * GRAM_BYTES), buckets), len(self.grams)]
-
-    def buckets(self):
-        """(bucket, its words, its pairs and triples) where there are any."""
-        for k in range(1 << self.bits):
-            word = slice(self.word_cuts[k], self.word_cuts[k + 1])
-            gram = slice(self.gram_cuts[k], self.gram_cuts[k + 1])
-            if word.start < word.stop or gram.start < gram.stop:
-                yield k, word, gram
+        self.owner, self.hashes, self.pairs, self.triples, self.start, *rest = (
+            np.concatenate(x) for x in zip(*held, strict=True)
+        )
+        if table is None:
+            (self.shapes,) = rest
+        else:
+            self.logs, self.shared = rest
 
     def questions(self):
-        """(bucket, words, their counts in training texts, pairs and triples, their counts)."""
-        trained = self.trained[self.owner]
-        word_c = np.bincount(self.word, trained[self.rare], len(self.words)).astype(np.int64)
-        gram_c = np.bincount(self.gram, np.concatenate([trained, trained]), len(self.grams)).astype(np.int64)
-        for k, word, gram in self.buckets():
-            yield k, self.words[word].tobytes(), _coded(word_c[word]), _low(self.grams[gram]), _coded(gram_c[gram])
+        """(bucket, words, their shapes and counts in training texts, pairs and triples, their counts): each word, pair
+        and triple once."""
+        found, first, word_c = np.unique(self.hashes, return_index=True, return_counts=True)
+        grams, gram_c = np.unique(np.concatenate([self.pairs, self.triples]), return_counts=True)
+        if not self.trained:
+            word_c, gram_c = np.zeros(len(found), np.int64), np.zeros(len(grams), np.int64)
+        word_at, gram_at = self.names.bounds(found, 64), self.names.bounds(grams, self.names.bits)
+        for k in np.flatnonzero(np.diff(word_at) + np.diff(gram_at)).tolist():
+            w, g = slice(word_at[k], word_at[k + 1]), slice(gram_at[k], gram_at[k + 1])
+            own = (found[w].tobytes(), self.shapes[first[w]].tobytes(), _coded(word_c[w]))
+            yield k, *own, self.names.packed(grams[g], k), _coded(gram_c[g])
 
     def answer(self, replies: pa.Table) -> None:
         """Takes the counts of all training texts from ``replies`` (bucket, words, grams), less each text's own."""
-        found = {r["bucket"]: r for r in replies.to_pylist()}
-        word_c, gram_c = np.zeros(len(self.words), np.int64), np.zeros(len(self.grams), np.int64)
-        for k, word, gram in self.buckets():
-            word_c[word] = _decoded(found[k]["words"], word.stop - word.start)
-            gram_c[gram] = _decoded(found[k]["grams"], gram.stop - gram.start)
-        trained = self.trained[self.owner]
-        self.count = self.code.count[self.at].astype(np.int64)
-        self.count[self.rare] = word_c[self.word]
-        self.others = self.count - np.where(trained, self._own(self.hashes), 0)
+        found, word = np.unique(self.hashes, return_inverse=True)
+        grams, gram = np.unique(np.concatenate([self.pairs, self.triples]), return_inverse=True)
+        word_c, gram_c = np.zeros(len(found), np.int64), np.zeros(len(grams), np.int64)
+        word_at, gram_at = self.names.bounds(found, 64), self.names.bounds(grams, self.names.bits)
+        for k, of_words, of_grams in zip(*(replies[c].to_pylist() for c in ("bucket", "words", "grams")), strict=True):
+            word_c[word_at[k] : word_at[k + 1]] = _decoded(of_words, word_at[k + 1] - word_at[k])
+            gram_c[gram_at[k] : gram_at[k + 1]] = _decoded(of_grams, gram_at[k + 1] - gram_at[k])
         n = len(self.hashes)
-        self.pair, self.triple = (
-            gram_c[g] - np.where(trained, self._own(g.astype(np.uint64)), 0) for g in (self.gram[:n], self.gram[n:])
-        )
+        self.count, self.pair, self.triple = word_c[word], gram_c[gram[:n]], gram_c[gram[n:]]
+        self.others = self.count
+        if self.trained:
+            # A text that has a word once has no pair that ends with it twice, and no triple twice whose pair it has once.
+            own = self._own(word, np.arange(n))
+            self.others = self.count - own
+            for counts, of in ((self.pair, gram[:n]), (self.triple, gram[n:])):
+                own = np.where(own > 1, 0, own)
+                more = np.flatnonzero(own == 0)
+                own[more] = self._own(of, more)
+                counts -= own
         ends = np.append(np.flatnonzero(self.start)[1:], n) - 1
         texts_seen = self.others[ends][self.owner]  # as often as there are ends
         self.one = np.where(self.start, texts_seen, np.concatenate([[0], self.others[:-1]]))
@@ -578,9 +577,10 @@ class Chunk:
         self.two = np.where(self.start, texts_seen, np.concatenate([[0], self.pair[:-1]]))
         self.level = _level(self.one) * LEVELS + _level(self.two)
 
-    def _own(self, names: np.ndarray) -> np.ndarray:
-        """How often a text has each of its tokens' names."""
-        _, inverse, c = np.unique(mix(names + mix(self.owner.astype(np.uint64))), return_inverse=True, return_counts=True)
+    def _own(self, numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How often the text of each of the tokens ``at`` has its number among them."""
+        names = self.owner[at].astype(np.int64) << 32 | numbers[at]
+        _, inverse, c = np.unique(names, return_inverse=True, return_counts=True)
         return c[inverse]
 
     def base(self, counts) -> np.ndarray:
@@ -591,44 +591,75 @@ class Chunk:
         return np.bincount(self.owner, values, minlength=self.n)
 
 
-_CHUNK = ["apart", "chunk"]
+_CHUNK = ["grp", "chunk"]
+_ASKED = "bucket int, grp int, chunk int, words binary, shapes binary, word_c binary, grams binary, gram_c binary"
+_REPLIES = "bucket int, grp int, chunk int, words binary, grams binary, shapes binary, word_c binary"
+VOCABULARY = -1  # the group of a bucket's own row
 
 
-def _ask(known, bits: int):
+def _ask(names: Names):
     """A row per bucket with what the chunk asks of it."""
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        asked = list(Chunk(known.value, t, bits).questions())
-        bucket, *parts = zip(*asked, strict=True)
-        n = len(asked)
+        bucket, *parts = zip(*Chunk(t, names).questions(), strict=True)
+        where = [pa.array([k.as_py()] * len(bucket), pa.int32()) for k in key]
         return pa.table(
-            {
-                "bucket": pa.array(bucket, pa.int32()),
-                "apart": pa.array([key[0].as_py()] * n, pa.bool_()),
-                "chunk": pa.array([key[1].as_py()] * n, pa.int32()),
-                **{c: pa.array(x, pa.binary()) for c, x in zip(("words", "word_c", "grams", "gram_c"), parts, strict=True)},
-            }
+            [pa.array(bucket, pa.int32()), *where, *(pa.array(x, pa.binary()) for x in parts)],
+            names=["bucket", "grp", "chunk", "words", "shapes", "word_c", "grams", "gram_c"],
         )
 
     return run
 
 
-def _totals(names: list[np.ndarray], counts: list[bytes]) -> list[bytes]:
-    """The counts of equal names summed, for each list in its own order."""
+def _totals(names: list[np.ndarray], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Distinct names, the place of one of each, their counts summed, and these for each list in its own order."""
     sizes = [len(x) for x in names]
     given = np.concatenate([_decoded(c, n) for c, n in zip(counts, sizes, strict=True)])
-    _, inverse = np.unique(np.concatenate(names), return_inverse=True)
-    total = np.bincount(inverse, given).astype(np.int64)[inverse]
-    return [_coded(x) for x in np.split(total, np.cumsum(sizes)[:-1])]
+    found, first, inverse = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    total = np.bincount(inverse, given, len(found)).astype(np.int64)
+    return found, first, total, [_coded(x) for x in np.split(total[inverse], np.cumsum(sizes)[:-1])]
+
+
+def _reply(names: Names):
+    """A bucket's questions are its counts: it sums them and sends each chunk the sums in the order of its question, and
+    one row more with its part of the vocabulary."""
+
+    def run(t: pa.Table) -> pa.Table:
+        parts = {c: t[c].to_pylist() for c in ("bucket", "words", "shapes", "word_c", "grams", "gram_c")}
+        found, first, total, words_ = _totals([np.frombuffer(x, np.uint64) for x in parts["words"]], parts["word_c"])
+        asked = [names.unpacked(x, k) for x, k in zip(parts["grams"], parts["bucket"], strict=True)]
+        *_, grams = _totals(asked, parts["gram_c"])
+        shape = np.concatenate([np.frombuffer(x, np.uint16) for x in parts["shapes"]])
+        known = total > 0
+        own = (found[known].tobytes(), None, shape[first[known]].tobytes(), total[known].tobytes())
+        nothing = [None] * t.num_rows
+        columns = [
+            [*parts["bucket"], parts["bucket"][0]],
+            [*t["grp"].to_pylist(), VOCABULARY],
+            [*t["chunk"].to_pylist(), 0],
+            *([*x, last] for x, last in zip((words_, grams, nothing, nothing), own, strict=True)),
+        ]
+        kinds = [pa.int32()] * 3 + [pa.binary()] * 4
+        return pa.table(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+            names=["bucket", "grp", "chunk", "words", "grams", "shapes", "word_c"],
+        )
 
+    return run
 
-def _reply(t: pa.Table) -> pa.Table:
-    """A bucket's questions are its counts: it sums them and sends each chunk the sums in the order of its question."""
-    parts = {c: t[c].to_pylist() for c in ("words", "word_c", "grams", "gram_c")}
-    words_ = _totals([np.frombuffer(x, np.uint64) for x in parts["words"]], parts["word_c"])
-    grams = _totals([_from_low(x) for x in parts["grams"]], parts["gram_c"])
-    out = t.select(["apart", "chunk", "bucket"])
-    return out.append_column("words", pa.array(words_, pa.binary())).append_column("grams", pa.array(grams, pa.binary()))
+
+def _vocabulary(batches):
+    """(h, shape, c) of the buckets' own rows."""
+    for batch in batches:
+        for h, shape, c in zip(*(batch[k].to_pylist() for k in ("words", "shapes", "word_c")), strict=True):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.frombuffer(h, np.int64)),
+                    pa.array(np.frombuffer(shape, np.uint16).astype(np.int32)),
+                    pa.array(np.frombuffer(c, np.int64)),
+                ],
+                ["h", "shape", "c"],
+            )
 
 
 def _level(n: np.ndarray) -> np.ndarray:
@@ -646,20 +677,20 @@ def _answered(docs: DataFrame, replies: DataFrame, run, schema: str) -> DataFram
     return docs.groupBy(*_CHUNK).cogroup(replies.groupBy(*_CHUNK)).applyInArrow(lambda key, t, r: run(t, r), schema)
 
 
-def _ratios(model, bits: int, gates):
+def _ratios(model, names: Names, gates):
     """(bin, c): how often a share c / n was how much larger than the prediction so far, by levels."""
 
     def run(t: pa.Table, replies: pa.Table) -> pa.Table:
         code, apart, _ = model.value
-        a = Chunk(code, t, bits, apart)
+        a = Chunk(t, names, code, apart)
         a.answer(replies)
         p, c, n = a.base(a.others), a.pair, a.one
         if gates is not None:
             p, c, n = _mixed(p, c, n, gates[a.level]), a.triple, a.two
         ratio = np.log2(np.maximum(c, 1) / np.maximum(n, 1) / p)
         bins = np.where(c > 0, np.clip(np.rint(2 * ratio) + BINS // 2, 1, BINS - 1), 0).astype(np.int64)
-        names, counts = np.unique((a.level * BINS + bins)[n > 0], return_counts=True)
-        return pa.table({"bin": pa.array(names, pa.int64()), "c": pa.array(counts, pa.int64())})
+        bins, counts = np.unique((a.level * BINS + bins)[n > 0], return_counts=True)
+        return pa.table({"bin": pa.array(bins, pa.int64()), "c": pa.array(counts, pa.int64())})
 
     return run
 
@@ -676,24 +707,24 @@ def likeliest_shares(held: np.ndarray) -> np.ndarray:
     return share[:, 0]
 
 
-def _gates(docs: DataFrame, replies: DataFrame, model, bits: int, gates=None) -> np.ndarray:
+def _gates(docs: DataFrame, replies: DataFrame, model, names: Names, gates=None) -> np.ndarray:
     """The likeliest share of the pairs, or with their ``gates`` of the triples, for each level."""
-    only = F.col("apart")
-    found = _answered(docs.where(only), replies.where(only), _ratios(model, bits, gates), "bin bigint, c bigint")
+    only = F.col("grp") == APART
+    found = _answered(docs.where(only), replies.where(only), _ratios(model, names, gates), "bin bigint, c bigint")
     held = np.zeros(LEVELS * LEVELS * BINS)
     for r in found.groupBy("bin").agg(F.sum("c").alias("c")).collect():  # LEVELS * LEVELS * BINS at most
         held[r["bin"]] = r["c"]
     return likeliest_shares(held)
 
 
-def _score(model, bits: int, pairs, triples):
+def _score(model, names: Names, pairs, triples):
     def run(t: pa.Table, replies: pa.Table) -> pa.Table:
         code, _, table = model.value
-        a = Chunk(code, t, bits, table)
+        a = Chunk(t, names, code, table)
         a.answer(replies)
         p = _mixed(a.base(a.count), a.pair, a.one, pairs[a.level])
         p = _mixed(p, a.triple, a.two, triples[a.level])
-        return a.rows.select(["doc_id", "fold", "n_bytes"]).add_column(
+        return a.rows.select(["doc_id", "grp", "n_bytes"]).add_column(
             3, "n_tokens", pa.array(a.sums(np.ones(len(a.owner))).astype(np.int64))
         ).add_column(4, "n_known", pa.array(a.sums(a.count > 0).astype(np.int64))).add_column(
             5, "base", pa.array(a.sums(np.log10(a.count + SMOOTH)))
@@ -710,47 +741,49 @@ def score_documents(docs: DataFrame) -> DataFrame:
     table gives no rows. Texts are dealt to chunks by id and text, so only rows that are equal in both share one
     in any case.
     """
+    ship(docs.sparkSession)
+    with shuffles_removed(docs.sparkSession):
+        return _scored(docs)
+
+
+def _scored(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
-    ship(spark)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    fold = (F.crc32(id_text.cast("binary")) % FOLDS).cast("int").alias("fold")
+    fold = F.crc32(id_text.cast("binary")) % FOLDS
+    group = F.when(fold == 0, HELD_OUT).when(fold == MIXER_FOLD, APART).otherwise(OTHERS).alias("grp")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    slim = docs.select("doc_id", fold, n_bytes, F.xxhash64("text").alias("th"), "text")
-    training = slim.where("fold != 0").select("fold", "text")
-    counted = training.select("text").mapInArrow(_vocabulary, "h bigint, shape int, c bigint")
-    vocabulary = counted.groupBy("h").agg(F.min("shape").alias("shape"), F.sum("c").alias("c"))
-    code = make_code(materialise(vocabulary, "vocabulary"))
-    known = spark.sparkContext.broadcast(code)  # COMMON words and the code: a fixed size
+    slim = docs.select("doc_id", group, n_bytes, F.xxhash64("text").alias("th"), "text")
+    size = slim.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    names = Names.of(size.b // 6 + size.n)
+    many = -(-(size.b + 8 * size.n) // CHUNK) + 1
+    number = F.xxhash64("doc_id", "th")
+    few = F.pmod(number, F.lit(-(-many // FOLDS)))
+    dealt = slim.withColumn("chunk", F.when(F.col("grp") == OTHERS, F.pmod(number, F.lit(many))).otherwise(few).cast("int"))
+
+    asked = dealt.groupBy(*_CHUNK).applyInArrow(_ask(names), _ASKED)
+    replies = materialise(asked.groupBy("bucket").applyInArrow(_reply(names), _REPLIES), "replies")
+    own = replies.where(F.col("grp") == VOCABULARY).select("words", "shapes", "word_c")
+    code = make_code(materialise(own.mapInArrow(_vocabulary, "h bigint, shape int, c bigint"), "vocabulary"))
+    replies = replies.where(F.col("grp") != VOCABULARY).drop("shapes", "word_c")
+
+    known = spark.sparkContext.broadcast(code)  # SINGLES words and the code
+    training = slim.where(F.col("grp") != HELD_OUT).select("grp", "text")
     observed = training.mapInArrow(_observations(known), "key bigint, c bigint")
     observed = observed.groupBy("key").agg(F.sum("c").alias("c"))
     context = F.pmod(F.shiftright("key", 4), F.lit(CONTEXTS)).cast("int").alias("both")
     sums = observed.groupBy(context).applyInArrow(_expanded(known), _SUMS)
     model = spark.sparkContext.broadcast((code, *train(code, sums)))  # a number per class and context
 
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    tokens = code.tokens * FOLDS // (FOLDS - 1) + size.n
-    many = max(1, -(-size.b // CHUNK_TEXT), -(-tokens // CHUNK_TOKENS))
-    bits = min(24, max(1, int(2 * tokens // BUCKET).bit_length()))
-    apart = (F.col("fold") == MIXER_FOLD).alias("apart")
-    number = F.pmod(F.xxhash64("doc_id", "th"), F.lit(many)).cast("int").alias("chunk")
-    dealt = slim.select("*", apart, number)
-    asked = dealt.groupBy(*_CHUNK).applyInArrow(
-        _ask(known, bits), "bucket int, apart boolean, chunk int, words binary, word_c binary, grams binary, gram_c binary"
-    )
-    replies = asked.groupBy("bucket").applyInArrow(
-        _reply, "apart boolean, chunk int, bucket int, words binary, grams binary"
-    )
-    replies = materialise(replies, "replies")
-    pairs = _gates(dealt, replies, model, bits)
-    triples = _gates(dealt, replies, model, bits, pairs)
+    pairs = _gates(dealt, replies, model, names)
+    triples = _gates(dealt, replies, model, names, pairs)
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, fold int, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double"
-    out = _answered(dealt, replies, _score(model, bits, pairs, triples), schema)
+    schema = f"doc_id {kind}, grp int, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double"
+    out = _answered(dealt, replies, _score(model, names, pairs, triples), schema)
     whole = float(np.log10(code.tokens + SMOOTH * (code.distinct + 1)))
     score = F.col("score")
     return out.select(
         "doc_id",
-        (F.col("fold") == 0).alias("held_out"),
+        (F.col("grp") == HELD_OUT).alias("held_out"),
         "n_tokens",
         "n_known",
         F.lit(code.tokens).cast("long").alias("train_tokens"),
