@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from highwater.llm import collocations, hard_negatives, line_dedup, mixing
+from highwater.llm import quality as quality_rules
 from highwater.llm.ann import nearest_neighbours
 from highwater.llm.common import table
 from highwater.llm.lm_score import score_documents
 from highwater.llm.ngram_join import jaccard_components
 from highwater.llm.packing import pack
-from highwater.llm.quality import quality
 from highwater.llm.sharding import shard_documents
 from highwater.llm.simhash import simhash_components
 from highwater.llm.token_count import count_tokens
@@ -69,7 +69,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents")).select(
+    return quality_rules.quality(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -185,6 +185,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard": _OP1,
         "op2_line_dedup": _OP2,
+        "op7_distribution_divergence": quality_rules.ORACLE,
         "op9_water_filling": _OP9,
         "op12_hard_negatives": hard_negatives.ORACLE,
         "op13_collocations": collocations.ORACLE,
