@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
 from highwater.functions.skew import split_join
-from highwater.llm.common import partitions, ship
+from highwater.llm.common import partitions, ship, shuffles_removed
 from highwater.llm.words import Words, chunks, mix, text_bytes, words
 
 LONGEST = 5
@@ -351,8 +351,9 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     ship(docs.sparkSession)
     docs = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    frequent, totals = frequent_phrases(docs, least, longest)
-    found = scored(frequent, totals)
+    with shuffles_removed(docs.sparkSession):
+        frequent, totals = frequent_phrases(docs, least, longest)
+        found = scored(frequent, totals)
     order = [F.desc("score"), F.desc("a"), "phrase"]
     # First within parts of a language, so that the last window sorts SALTS * top rows of it at most.
     salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
