@@ -409,6 +409,7 @@ def train(code: Code, sums: DataFrame) -> tuple[Table, Table]:
     rows = sums.orderBy("fold", "both", "run", "node").toArrow()
     fold, *parts = (rows[c].to_numpy() for c in ("fold", "both", "run", "node", "one", "zero"))
     every, apart = Sums(*(x.astype(np.int64) for x in parts[:3]), *parts[3:]), fold == 1
+    del rows, parts
     mixer = Mixer(code)
     mixer.count(every.where(~apart))
     if apart.any():

@@ -60,7 +60,7 @@ def mix(docs: DataFrame, volume: float = VOLUME, epochs: int = EPOCHS) -> DataFr
 
     The size of a document is its number of words (null: 0). ``copies`` says how often the mix takes the
     document and ``taken`` is size * copies. A null source is a source. The result is the same on every
-    run; rows with the same doc_id and size are interchangeable. Columns of any other name may be
+    run; rows with the same doc_id and text are interchangeable. Columns of any other name may be
     present; an empty table gives no rows, and a source without words takes nothing.
     """
     own = F.struct(
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, volume: float = VOLUME, epochs: int = EPOCHS) -> DataFr
     )
     in_bin = F.substring("own.key", 1, _BIN_DIGITS)
     full, last = F.coalesce("cut.full", F.lit("")), F.coalesce("cut.last", F.lit(""))
-    order = Window.partitionBy("own.source").orderBy("own.key", "row.doc_id", "own.size")
+    order = Window.partitionBy("own.source").orderBy("own.key", "row.doc_id", "own.size", F.xxhash64("row.text"))
     before = F.sum("own.size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     before = before - F.col("own.size") + F.coalesce("cut.base", F.lit(0))
     some = (in_bin > full) & (in_bin <= last)

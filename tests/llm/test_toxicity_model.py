@@ -1,5 +1,8 @@
 """The character models of toxicity, without Spark."""
 
+import math
+from collections import Counter, defaultdict
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -43,3 +46,56 @@ def test_long_words_are_read_to_their_end():
     assert pieces[0] == "ab" and pieces.count("y" * 48) == 1
     again = words(pa.array(pieces))
     assert again.hashes.tolist() == found.hashes.tolist()
+
+
+def grams(text, order):
+    """(context, character) at every character after the start, with what is before the start as blanks."""
+    spelled = "\x01" + text + "\x02"
+    padded = "\x00" * order + spelled
+    for end in range(1, len(spelled)):
+        at = end + order
+        yield padded[at - order + 1 : at], padded[at]
+
+
+def plain_ratio(texts, counts, text):
+    """Kneser-Ney by its definition: class counts at the longest order, counts of different longer n-grams below."""
+    top = [Counter(), Counter()]
+    kinds = [defaultdict(set) for _ in range(toxicity.ORDER + 1)]  # of order k: what stands before each n-gram
+    for t, own in zip(texts, counts, strict=True):
+        for k in (0, 1):
+            for gram in grams(t, toxicity.ORDER):
+                top[k][gram] += own[k]
+        for order in range(1, toxicity.ORDER):
+            for longer, gram in zip(grams(t, order + 1), grams(t, order), strict=True):
+                kinds[order][gram].add(longer)
+
+    def share(count, context, character, lower):
+        every = [c for (x, _), c in count.items() if x == context]
+        if not sum(every):
+            return lower
+        own = max(count.get((context, character), 0) - toxicity.DISCOUNT, 0)
+        return (own + toxicity.DISCOUNT * sum(c > 0 for c in every) * lower) / sum(every)
+
+    below = [{g: len(x) for g, x in kinds[order].items()} for order in range(toxicity.ORDER)]
+    total = 0.0
+    for end in range(len(text) + 1):
+        p = 1 / 256
+        for order in range(1, toxicity.ORDER):
+            p = share(below[order], *list(grams(text, order))[end], p)
+        context, character = list(grams(text, toxicity.ORDER))[end]
+        ordinary, toxic = (share(top[k], context, character, p) for k in (0, 1))
+        total += math.log(toxic) - math.log(ordinary)
+    return total / (len(text) + 1)
+
+
+def test_ratios_are_kneser_ney_s():
+    rng = np.random.default_rng(7)
+    texts = sorted({"".join(rng.choice(list("abcd"), rng.integers(1, 10))) for _ in range(40)})
+    counts = rng.integers(0, 3, (len(texts), 2))
+    model = learnt(texts, counts)
+    asked = [*texts[:8], "abcabc", "dddd", "zz", "a"]
+    data = np.frombuffer("".join(asked).encode(), np.uint8)
+    lengths = np.array([len(t) for t in asked])
+    got = toxicity.ratios(model, toxicity._spell(data, np.cumsum(lengths) - lengths, lengths))
+    for text, ratio in zip(asked, got, strict=True):
+        assert ratio == pytest.approx(plain_ratio(texts, counts, text), abs=1e-9), text
