@@ -5,8 +5,11 @@ pieces. For each class, toxic and ordinary, a Kneser-Ney model
 gives the probability of the next character after up to ORDER - 1 others; the longest context uses the
 counts of the class, and all shorter ones the continuation counts of both classes together, so that a
 rare or unseen expression is judged by what both share. Both log-likelihoods of every expression are
-normalised by its length and compared. A document's features are its strongest expressions and the
-mean over all of them; a logistic curve fitted on other labelled documents makes them a score.
+normalised by its length and compared. Two neighbouring words are an expression as well, of the second word after the
+first, by the same rule: the counts of the class for the pair, for all that is rare the continuation counts of both
+classes together. So words that are harmless one by one can be toxic in this order. A document's features are its
+strongest expressions of either kind, the mean over its words and how many are strong; a logistic curve fitted on
+other labelled documents makes them a score.
 
 The models are learnt from a bounded sample of labelled documents (SAMPLE per class, in the order of a
 hash, none of more than LARGEST bytes and at most SAMPLE_BYTES together, shared out evenly over the classes);
@@ -38,13 +41,19 @@ DISCOUNT = 0.75
 THRESHOLD = 0.3
 PART = 20_000  # expressions that are taken apart at once
 LONGEST = 48  # bytes of an expression; a longer word is several
+PAIR_DOCUMENTS = 5  # of the sample that have a pair, before it counts
+STRONG, STRONG_PAIR = 0.3, 1.0
+FEATURES = 6
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratio of expressions. Per order: hashes of n-grams and contexts, and counts."""
+    """Log-likelihood ratio of expressions. Per order: hashes of n-grams and contexts, and counts; for pairs of words
+    that speak for toxicity, their hashes and ratios, with 0 last for all others."""
 
     grams: list[tuple]
+    pairs: Index
+    gains: np.ndarray
     weights: np.ndarray | None = None
     scale: np.ndarray | None = None
 
@@ -119,7 +128,7 @@ def learn(spelled: np.ndarray, counts: np.ndarray) -> Model:
             kinds = np.bincount(back, (count > 0).astype(float))
             columns += [np.append(x, 0.0) for x in (count, total, kinds)]  # the last: not found
         grams.append(tuple(columns))
-    return Model(grams)
+    return Model(grams, Index(np.empty(0, np.uint64)), np.zeros(1))
 
 
 def ratios(model: Model, spelled: np.ndarray) -> np.ndarray:
@@ -170,9 +179,17 @@ class Memo:
         return value
 
 
+def pairs_of(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all words that have one after them in their text, and the hashes of both together."""
+    first = np.flatnonzero(np.diff(found.owner) == 0)
+    h = found.hashes
+    return first, mix(h[first] * np.uint64(0x9E3779B97F4A7C15) + h[first + 1])
+
+
 def features(model: Model, found: Words, memo: Memo) -> np.ndarray:
-    """Per document: the strongest and second expression, the mean, and how many are strong."""
-    out = np.zeros((found.rows, 4))
+    """Per document: the strongest and second word, the mean, and how many are strong; the strongest pair, and how
+    many of these are strong."""
+    out = np.zeros((found.rows, FEATURES))
     if not len(found.hashes):
         return out
     names, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
@@ -189,16 +206,22 @@ def features(model: Model, found: Words, memo: Memo) -> np.ndarray:
     second = np.maximum.reduceat(rest, found.first[:-1][filled])
     out[filled, 1] = np.where(np.isfinite(second), second, out[filled, 0])
     out[:, 2] = np.bincount(owner, value, minlength=found.rows) / np.maximum(counts, 1)
-    strong = np.bincount(owner, value > 0.3, minlength=found.rows)
+    strong = np.bincount(owner, value > STRONG, minlength=found.rows)
     out[:, 3] = np.log1p(strong)
+    places, names = pairs_of(found)
+    at = model.pairs.find(names)
+    known = np.flatnonzero(at < model.pairs.n)
+    gain, of = model.gains[at[known]], owner[places[known]]
+    np.maximum.at(out[:, 4], of, gain)
+    out[:, 5] = np.log1p(np.bincount(of, gain > STRONG_PAIR, minlength=found.rows))
     return out
 
 
 def fit(model: Model, x: np.ndarray, y: np.ndarray) -> None:
     """A logistic curve over the features, by Newton's method with a small ridge."""
-    model.scale = np.stack([x.mean(axis=0), x.std(axis=0) + 1e-9]) if len(x) else np.array([[0.0] * 4, [1.0] * 4])
+    model.scale = np.stack([x.mean(axis=0), x.std(axis=0) + 1e-9]) if len(x) else np.array([[0.0] * FEATURES, [1.0] * FEATURES])
     z = np.column_stack([np.ones(len(x)), (x - model.scale[0]) / model.scale[1]])
-    w, ridge = np.zeros(z.shape[1]), np.diag([1e-6] + [0.5] * 4)
+    w, ridge = np.zeros(z.shape[1]), np.diag([1e-6] + [0.5] * FEATURES)
     if 0 < y.sum() < len(y):
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -254,10 +277,15 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     sample = _sample(labels.where(F.col("fold") != FIT), limit).unionByName(
         _sample(labels.where(F.col("fold") == FIT), limit // 2)
     )
-    found = _texts(docs, sample).select("doc_id", "fold", "toxic", "text").toArrow()
+    texts = _texts(docs, sample).select("doc_id", "fold", "toxic", "text")
+    found = texts.toArrow()
     rows = found.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks().to_batches()
     model = learn(*_expressions(rows))
-    memo, x, y = Memo(), [np.empty((0, 4))], [np.empty(0)]
+    strong = pair_gains(texts.where(F.col("fold") != FIT)).orderBy("pair").toArrow()  # bounded by the sample
+    names, gains = strong["pair"].to_numpy().view(np.uint64), strong["gain"].to_numpy()
+    order = np.argsort(names)
+    model.pairs, model.gains = Index(names[order]), np.append(gains[order], 0.0)
+    memo, x, y = Memo(), [np.empty((0, FEATURES))], [np.empty(0)]
     for batch in rows:
         batch = batch.filter(pc.equal(batch["fold"], FIT))
         for part, texts in chunks(batch):
@@ -267,6 +295,52 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     return model
 
 
+def _count_pairs(batches):
+    """(pair, before, after, ordinary, toxic, documents) of a batch of (toxic, text)."""
+    for batch in batches:
+        for part, texts in chunks(batch):
+            found = words(texts, LONGEST)
+            toxic = part.column(0).to_numpy(zero_copy_only=False).astype(float)
+            places, names = pairs_of(found)
+            pair, first, inverse = np.unique(names, return_index=True, return_inverse=True)
+            owner = found.owner[places]
+            of_class = toxic[owner]
+            held = np.unique(inverse * np.int64(found.rows) + owner) // max(found.rows, 1)
+            counts = [np.bincount(inverse, c, len(pair)) for c in (1 - of_class, of_class)]
+            counts.append(np.bincount(held, minlength=len(pair)))
+            hashes = (pair, found.hashes[places[first]], found.hashes[places[first] + 1])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(h.view(np.int64)) for h in hashes), *(pa.array(c.astype(np.int64)) for c in counts)],
+                ["pair", "before", "after", "ordinary", "toxic", "documents"],
+            )
+
+
+def pair_gains(texts: DataFrame) -> DataFrame:
+    """(pair, gain): toxic minus ordinary log-likelihood of the second word after the first, where it is above zero
+    and PAIR_DOCUMENTS of ``texts`` (toxic, text) have the pair."""
+    counted = texts.select("toxic", "text").mapInArrow(
+        _count_pairs, "pair bigint, before bigint, after bigint, ordinary bigint, toxic bigint, documents bigint"
+    )
+    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic", "documents")]
+    pairs = counted.groupBy("pair", "before", "after").agg(*sums)
+    contexts = pairs.groupBy("before").agg(
+        *[F.sum(c).alias(f"{c}_total") for c in ("ordinary", "toxic")],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")],
+    )
+    kinds = pairs.groupBy("after").agg(F.count(F.lit(1)).alias("kinds"))
+    every = pairs.agg(F.count(F.lit(1)).alias("every"))
+    found = pairs.where(F.col("documents") >= PAIR_DOCUMENTS).join(contexts, "before").join(kinds, "after")
+    lower = F.col("kinds") / every.scalar()
+
+    def likelihood(c):
+        count, total = F.col(c), F.col(f"{c}_total")
+        p = (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"{c}_kinds") * lower) / total
+        return F.log(F.when(total > 0, p).otherwise(lower))
+
+    gain = likelihood("toxic") - likelihood("ordinary")
+    return found.select("pair", gain.alias("gain")).where("gain > 0")
+
+
 def _expressions(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct expressions of the counted documents, spelled, and their counts per class."""
     names, spelled, counts = [], [], []

@@ -99,3 +99,41 @@ def test_ratios_are_kneser_ney_s():
     got = toxicity.ratios(model, toxicity._spell(data, np.cumsum(lengths) - lengths, lengths))
     for text, ratio in zip(asked, got, strict=True):
         assert ratio == pytest.approx(plain_ratio(texts, counts, text), abs=1e-9), text
+
+
+def test_words_that_are_toxic_only_together(spark):
+    """Both words stand in either class; only their order tells."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(700):
+        w = [f"w{k}" for k in rng.integers(0, 60, 40)]
+        at = int(rng.integers(0, 38))
+        toxic = int(i % 2)
+        w[at : at + 2] = ["green", "river"] if toxic else ["river", "green"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()
+    held = [(r.row.doc_id % 2, r.predicted) for r in found if r.held_out]
+    assert len(held) > 100 and np.mean([a == b for a, b in held]) > 0.97
+
+
+def test_gains_of_pairs_are_kneser_ney_s(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 2)), " ".join(f"w{k}" for k in rng.integers(0, 5, 12))) for _ in range(60)]
+    count, holds = [Counter(), Counter()], defaultdict(set)
+    for i, (toxic, text) in enumerate(rows):
+        w = text.split()
+        for pair in zip(w, w[1:], strict=False):
+            count[toxic][pair] += 1
+            holds[pair].add(i)
+    every = set(count[0]) | set(count[1])
+
+    def likelihood(c, pair):
+        lower = sum(p[1] == pair[1] for p in every) / len(every)
+        own = [n for p, n in c.items() if p[0] == pair[0]]
+        return (max(c[pair] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * len(own) * lower) / sum(own)
+
+    want = sorted(math.log(likelihood(count[1], p) / likelihood(count[0], p)) for p in every if len(holds[p]) >= 5)
+    got = toxicity.pair_gains(spark.createDataFrame(rows, "toxic int, text string").repartition(3)).collect()
+    assert sorted(r.gain for r in got) == pytest.approx([x for x in want if x > 0])
