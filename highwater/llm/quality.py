@@ -26,11 +26,11 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Words of a language's list, and documents that it takes to make a reference.
-TOP = 24
+TOP = 16
 MIN_DOCUMENTS = 20
 #: Distances above these reject; guards are the least number of characters and words for a verdict.
 MAX_CHAR_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.29
+MAX_WORD_DISTANCE = 0.27
 MIN_CHARS = 400
 MIN_WORDS_VERDICT = 100
 DIGITS = 6  # of the distances
@@ -44,11 +44,6 @@ def _count(text, kept: str) -> F.Column:
     return F.length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("long")
 
 
-def _lower(word) -> F.Column:
-    """A-Z in lower case, so that it does not depend on anybody's case tables."""
-    return F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def _repeat_words(words) -> F.Column:
     """Words that stand in a 3-word window found twice or more, each counted once.
 
@@ -104,16 +99,19 @@ def js_distance(p, q) -> F.Column:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """(lang, top): the TOP commonest words of every language with MIN_DOCUMENTS documents, the commonest first."""
+    """(lang, top, longest): the TOP commonest words of every language with MIN_DOCUMENTS documents, the commonest
+    first, as they are written, and the bytes of the longest of them."""
     known = docs.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = known.where(F.col("n") >= MIN_DOCUMENTS).select("lang")
     found = docs.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
-    counted = found.groupBy("lang", _lower(F.col("word")).alias("word")).agg(F.count(F.lit(1)).alias("c"))
+    counted = found.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
     # Spark keeps each task's first TOP rows of a language before it brings them together.
     order = Window.partitionBy("lang").orderBy(F.desc("c"), "word")
     first = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOP)
     lists = first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("top"))
-    return materialise(known.join(lists, "lang").select("lang", F.col("top.word").alias("top")), "languages")
+    top = F.col("top.word")
+    longest = F.array_max(F.transform(top, lambda x: F.octet_length(x)))
+    return materialise(known.join(lists, "lang").select("lang", top.alias("top"), longest.alias("longest")), "languages")
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -122,7 +120,7 @@ def measure(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     listed = split_join(docs, common_words(docs), ["lang"], "left")
     # Hidden behind a generator, so that the words of a text are computed once.
-    slim = listed.select("doc_id", "lang", "top", text.alias("t"), F.explode(F.array(words_of(text))).alias("w"))
+    slim = listed.select("doc_id", "lang", "top", "longest", text.alias("t"), F.explode(F.array(words_of(text))).alias("w"))
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(f"[^{SPACES}]"))
     counts = {
         "lower": _count(F.col("t"), "a-z"),
@@ -132,7 +130,7 @@ def measure(docs: DataFrame) -> DataFrame:
         "accent": _count(F.col("t"), "\\x{80}-\\x{10FFFF}"),
     }
     # Most words are on no list and are left out before the others are told apart.
-    own = F.filter(F.transform("w", _lower), lambda x: F.array_contains("top", x))
+    own = F.filter("w", lambda x: (F.octet_length(x) <= F.col("longest")) & F.array_contains("top", x))
 
     def histogram(found):
         each = F.transform("top", lambda y: F.size(F.filter(found, lambda x: x == y)).cast("long"))
@@ -200,19 +198,16 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
   FROM documents
-), lw AS (
-  SELECT rid, lang, list_transform(w, lambda x:
-    translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS lw FROM d
 ), c AS (
-  SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(lw) AS x FROM lw)
+  SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(w) AS x FROM d)
   WHERE lang IN (SELECT lang FROM d GROUP BY lang HAVING count(*) >= 20) GROUP BY ALL
 ), tops AS (
   SELECT lang, list(x ORDER BY c DESC, x) AS top FROM c
-  WHERE (lang, x) IN (SELECT (lang, x) FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, x) <= 24)
+  WHERE (lang, x) IN (SELECT (lang, x) FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, x) <= 16)
   GROUP BY lang
 ), own AS (
-  SELECT rid, top, list_filter(lw, lambda x: list_contains(top, x)) AS own, len(lw) AS n
-  FROM lw JOIN tops ON tops.lang = lw.lang
+  SELECT rid, top, list_filter(w, lambda x: list_contains(top, x)) AS own, len(w) AS n
+  FROM d JOIN tops ON tops.lang = d.lang
 ), hist AS (
   SELECT rid, list_transform(top, lambda y: len(list_filter(own, lambda x: x = y))) || [n - len(own)] AS bins FROM own
 ), grams AS (
@@ -236,7 +231,7 @@ WITH d AS (
 ), sums AS (
   SELECT lang, 'c' AS kind, i, sum(classes[i]) AS s FROM k, (SELECT unnest(range(1, 7)) AS i) WHERE bins IS NOT NULL GROUP BY ALL
   UNION ALL
-  SELECT lang, 'w', i, sum(bins[i]) FROM k, (SELECT unnest(range(1, 26)) AS i) WHERE bins IS NOT NULL GROUP BY ALL
+  SELECT lang, 'w', i, sum(bins[i]) FROM k, (SELECT unnest(range(1, 18)) AS i) WHERE bins IS NOT NULL GROUP BY ALL
 ), refs AS (
   SELECT lang, list(s ORDER BY i) FILTER (kind = 'c') AS rc, list(s ORDER BY i) FILTER (kind = 'w' AND s IS NOT NULL) AS rw
   FROM sums GROUP BY lang
@@ -263,6 +258,6 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(word_chars >= 400 AND char_distance > 0.35, FALSE)
-    AND NOT coalesce(n_words >= 100 AND word_distance > 0.29, FALSE) AS kept, char_distance, word_distance
+    AND NOT coalesce(n_words >= 100 AND word_distance > 0.27, FALSE) AS kept, char_distance, word_distance
 FROM verdict
 """

@@ -31,20 +31,19 @@ def made():
 def plain(rows):
     lists, refs = {}, {}
     split = {i: [w for w in (t or "").replace("\t", " ").split(" ") if w] for i, (_, t, _) in enumerate(rows)}
-    low = {i: ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in ws] for i, ws in split.items()}
     for lang in {r[2] for r in rows}:
         mine = [i for i, r in enumerate(rows) if r[2] == lang]
         if lang is not None and len(mine) >= 20:
-            count = Counter(w for i in mine for w in low[i])
-            lists[lang] = sorted(count, key=lambda w: (-count[w], w.encode()))[:24]
+            count = Counter(w for i in mine for w in split[i])
+            lists[lang] = sorted(count, key=lambda w: (-count[w], w.encode()))[:16]
 
     def histograms(i):
-        text, top, n = rows[i][1] or "", lists[rows[i][2]], Counter(low[i])
+        text, top, n = rows[i][1] or "", lists[rows[i][2]], Counter(split[i])
         kinds = [sum("a" <= c <= "z" for c in text), sum("A" <= c <= "Z" for c in text), sum(c in "0123456789" for c in text)]
         kinds += [sum(c in "#*$%&|<>" for c in text), sum(ord(c) >= 128 for c in text)]
         kinds.append(sum(map(len, split[i])) - sum(kinds))
         listed = [n[w] for w in top]
-        return kinds, [*listed, len(low[i]) - sum(listed)]
+        return kinds, [*listed, len(split[i]) - sum(listed)]
 
     def shares(x):
         return [y / sum(x) if sum(x) else 0.0 for y in x]
@@ -78,7 +77,7 @@ def test_distances_and_verdicts(spark):
     assert all(got[i].kept and got[i].char_distance is None for i in (100, 101, 102, 200))  # no reference
     assert not got[300].kept and not got[300].base_failed  # codes and symbols
     assert not got[301].kept and got[301].char_distance > 0.35  # another script under this language's name
-    assert got[400].base_failed and not got[402].kept
+    assert got[400].base_failed and not got[402].kept and got[401].word_distance is None
 
 
 def test_short_lists_have_fewer_bins(spark):
