@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,17 @@ def ship(spark: SparkSession) -> None:
         env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
+def release() -> None:
+    """Hand what large arrays have left free in this process back to the system, where the C library can.
+
+    For the driver, which otherwise keeps the peak of one step through all later ones.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.llm.common import ship, shuffles_removed
+from highwater.llm.common import release, ship, shuffles_removed
 from highwater.llm.words import Index, Words, chunks, mix, words
 
 FOLDS = 10
@@ -774,6 +774,7 @@ def _scored(docs: DataFrame) -> DataFrame:
     context = F.pmod(F.shiftright("key", 4), F.lit(CONTEXTS)).cast("int").alias("both")
     sums = observed.groupBy(context).applyInArrow(_expanded(known), _SUMS)
     model = spark.sparkContext.broadcast((code, *train(code, sums)))  # a number per class and context
+    release()
 
     pairs = _gates(dealt, replies, model, names)
     triples = _gates(dealt, replies, model, names, pairs)

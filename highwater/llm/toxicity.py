@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from highwater.functions.lineage import materialise
-from highwater.llm.common import ship
+from highwater.llm.common import release, ship
 from highwater.llm.words import Index, Words, chunks, mix, words
 
 FOLDS = 4
@@ -280,7 +280,9 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     texts = _texts(docs, sample).select("doc_id", "fold", "toxic", "text")
     found = texts.toArrow()
     rows = found.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks().to_batches()
+    del found
     model = learn(*_expressions(rows))
+    release()
     strong = pair_gains(texts.where(F.col("fold") != FIT)).orderBy("pair").toArrow()  # bounded by the sample
     names, gains = strong["pair"].to_numpy().view(np.uint64), strong["gain"].to_numpy()
     order = np.argsort(names)
@@ -386,6 +388,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(train(docs, labels))  # bounded by the sample
+    release()
     slim = docs.select(F.struct("*").alias("row"), "text")
     fields = docs.schema.simpleString()
     scored = slim.mapInArrow(_scores(model), f"row {fields}, score double")
